@@ -1,0 +1 @@
+"""Reserved: the covered workload is batch only, so no streaming operator is offered."""
