@@ -4,6 +4,8 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .nulls import all_of
+
 
 SALTS = 8
 
@@ -24,16 +26,15 @@ def attach(rows: DataFrame, stats: DataFrame, by, how: str = "left", salts: int
         held = rows.withColumn("__stats", one)
         return held.select(*rows.columns, *[F.col("__stats").getField(c).alias(c) for c in added])
     columns = rows.columns
-    keyed = stats.select(*[F.col(c).alias(f"__key_{i}") for i, c in enumerate(by)], *added)
-    match = None
+    keyed = stats.select(*[F.col(c).alias(f"__key_{i}") for i, c in enumerate(by)],
+                         *[F.col(c).alias(f"__add_{i}") for i, c in enumerate(added)])
+    match = [F.col(c).eqNullSafe(F.col(f"__key_{i}")) for i, c in enumerate(by)]
     if salts > 1:
         rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
-        keyed = keyed.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-        match = rows["__salt"] == keyed["__salt"]
-    for i, c in enumerate(by):
-        same = rows[c].eqNullSafe(keyed[f"__key_{i}"])
-        match = same if match is None else match & same
-    return rows.join(keyed, match, how).select(*[rows[c] for c in columns], *[keyed[c] for c in added])
+        keyed = keyed.withColumn("__copy", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+        match.append(F.col("__salt") == F.col("__copy"))
+    joined = rows.join(keyed, all_of(match), how)
+    return joined.select(*columns, *[F.col(f"__add_{i}").alias(c) for i, c in enumerate(added)])
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:

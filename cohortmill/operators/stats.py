@@ -61,7 +61,7 @@ def attrition_counts(df: DataFrame, steps: dict[str, Column], subject=("site", "
     deepest = df.groupBy(*subject).agg(F.max(chain).alias("depth"))
     names = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step")) for i, n in enumerate(["all", *steps])])
     reached = deepest.groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
-    return reached.select("n", "depth", F.explode(names).alias("s")).groupBy("s.step_no", "s.step").agg(
+    return reached.select("n", "depth", F.explode(names).alias("s")).select("n", "depth", "s.*").groupBy("step_no", "step").agg(
         F.sum(F.when(F.col("depth") >= F.col("step_no"), F.col("n")).otherwise(0)).alias("n_subjects"))
 
 
