@@ -37,6 +37,25 @@ def attach(rows: DataFrame, stats: DataFrame, by, how: str = "left", salts: int
     return joined.select(*columns, *[F.col(f"__add_{i}").alias(c) for i, c in enumerate(added)])
 
 
+# Cells (rows x columns, numbers mostly) up to which a statistics table is broadcast: about 32 MB.
+BROADCAST_CELLS = 1_000_000
+
+
+def attach_checked(rows: DataFrame, stats: DataFrame, by, how: str = "left", cells_per_row: int | None = None) -> DataFrame:
+    """``attach`` for statistics that are usually small: computes them now and looks at their size.
+
+    The statistics are checkpointed (one job, which the result needs anyway) and counted.  Within
+    ``BROADCAST_CELLS`` they are broadcast, so the rows are not shuffled at all; beyond it the
+    salted shuffle join is used.
+    """
+    if not by:
+        return attach(rows, stats, by, how)
+    settled = cut_lineage(stats)
+    if settled.count() * (cells_per_row or len(stats.columns)) <= BROADCAST_CELLS:
+        return attach(rows, F.broadcast(settled), by, how)
+    return attach(rows, settled, by, how, SALTS)
+
+
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     """The row with the smallest ``order`` per key, combined map-side (no window over a hot key)."""
     rest = [c for c in df.columns if c not in keys]

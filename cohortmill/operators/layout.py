@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.nulls import all_of, number
-from ..functions.relate import SALTS, attach
+from ..functions.relate import attach, attach_checked
 from .ranking import exact_quantiles
 
 Stat = Callable[[Column], Column]
@@ -47,7 +47,7 @@ class Long:
     def _with(self, df, stats, by):
         keys = [*by, self.feature]
         named = stats.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in stats.columns if c not in keys])
-        return attach(df, named, keys, salts=SALTS)
+        return attach_checked(df, named, keys)
 
     def merge(self, stats: DataFrame, overall: DataFrame) -> DataFrame:
         """Group statistics with the features' overall ones beside them as ``all_<name>``."""
@@ -100,42 +100,50 @@ class Wide:
             plain = df.groupBy(*by).agg(*[F.struct(*fields(c)).alias(c) for c in self.columns])
         if not exact:
             return plain
-        melted = df.select(*by, *[number(c).alias(c) for c in self.columns]).unpivot(by, list(self.columns), "__f", "__x")
+        casts = [f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)) AS `{c}`" for c in self.columns]
+        melted = df.selectExpr(*[f"`{k}`" for k in by], *casts).unpivot(by, list(self.columns), "__f", "__x")
         q = exact_quantiles(melted, [*by, "__f"], "__x", list(probs.values()), interpolate)
         q = q.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__f", "q"))).alias("__q"))
         ready = q if plain is None else attach(plain, q, by)
-        names = list(aggs or {})
-        return ready.select(*by, *[
-            F.struct(*[F.col(c).getField(n).alias(n) for n in names],
-                     *[F.col("__q")[c][i].alias(n) for i, n in enumerate(probs)]).alias(c)
-            for c in self.columns])
+
+        def packed(c):
+            kept = [f"`{c}`.`{n}` AS `{n}`" for n in aggs or {}]
+            return f"struct({', '.join(kept + [f'__q[{c!r}][{i}] AS `{n}`' for i, n in enumerate(probs)])}) AS `{c}`"
+
+        return ready.selectExpr(*[f"`{k}`" for k in by], *[packed(c) for c in self.columns])
 
     def as_rows(self, stats: DataFrame, by=(), feature: str = "feature_id") -> DataFrame:
         """Wide statistics as one row per (group, feature)."""
         return stats.unpivot(list(by), list(self.columns), feature, "__s").select(*by, feature, "__s.*")
 
     def _with(self, df, stats, by):
-        return attach(df, stats.select(*by, *[F.col(c).alias(f"__s_{c}") for c in self.columns]), by, salts=SALTS)
+        named = stats.selectExpr(*[f"`{k}`" for k in by], *[f"`{c}` AS `__s_{c}`" for c in self.columns])
+        return attach_checked(df, named, list(by), cells_per_row=8 * len(self.columns))
 
     def merge(self, stats, overall) -> DataFrame:
-        both = attach(stats, overall.select(*[F.col(c).alias(f"__a_{c}") for c in self.columns]), [])
+        both = attach(stats, overall.selectExpr(*[f"`{c}` AS `__a_{c}`" for c in self.columns]), [])
         keys = [c for c in stats.columns if c not in self.columns]
+        mine = stats.schema[self.columns[0]].dataType.names
+        others = overall.schema[self.columns[0]].dataType.names
 
         def joined(c):
-            return F.struct(*[F.col(c).getField(n).alias(n) for n in stats.schema[c].dataType.names],
-                            *[F.col(f"__a_{c}").getField(n).alias(f"all_{n}") for n in overall.schema[c].dataType.names])
+            return ", ".join([f"`{c}`.`{n}` AS `{n}`" for n in mine] + [f"`__a_{c}`.`{n}` AS `all_{n}`" for n in others])
+
+        return both.selectExpr(*[f"`{k}`" for k in keys], *[f"struct({joined(c)}) AS `{c}`" for c in self.columns])
 
-        return both.select(*keys, *[joined(c).alias(c) for c in self.columns])
+    @staticmethod
+    def _statistic(c):
+        return lambda n: F.expr(f"`__s_{c}`.`{n}`")
 
     def apply(self, df, stats, rule, by=(), name=lambda c: c) -> DataFrame:
         held = self._with(df, stats, by)
-        made = {name(c): rule(number(c), F.col(f"__s_{c}").getField) for c in self.columns}
-        return held.select(*[made.pop(c).alias(c) if c in made else F.col(c) for c in df.columns],
+        made = {name(c): rule(number(c), self._statistic(c)) for c in self.columns}
+        return held.select(*[made.pop(c).alias(c) if c in made else c for c in df.columns],
                            *[e.alias(n) for n, e in made.items()])
 
     def keep(self, df, stats, rule, by=()) -> DataFrame:
         held = self._with(df, stats, by)
-        return held.where(all_of(rule(number(c), F.col(f"__s_{c}").getField) for c in self.columns)).select(*df.columns)
+        return held.where(all_of(rule(number(c), self._statistic(c)) for c in self.columns)).select(*df.columns)
 
     def project(self, df, fn, name=lambda c: c) -> DataFrame:
         return df.withColumns({name(c): fn(number(c)) for c in self.columns})

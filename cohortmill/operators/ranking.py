@@ -8,7 +8,7 @@ distinct ones with counts (hot values become one row), then either bracketed by
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import number
-from ..functions.relate import SALTS, attach, md5_order
+from ..functions.relate import SALTS, attach, attach_checked, md5_order
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
 
@@ -55,7 +55,7 @@ def exact_quantiles(df: DataFrame, by, value, probs, interpolate: bool = True, a
     # order).  They are therefore no part of the key below: any valid bracket gives the same ranks.
     goal = ["i", "first", "second", "part"]
     near = (
-        attach(rows, wanted, by, "inner", SALTS)
+        attach_checked(rows, wanted, by, "inner", cells_per_row=6 * len(probs))
         .select(*by, "__x", F.explode("__want").alias("w"))
         .where(F.col("__x") <= F.col("w.hi"))
         .select(*by, *[F.col(f"w.{g}").alias(f"__{g}") for g in goal],

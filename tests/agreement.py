@@ -58,7 +58,7 @@ def main(argv):
 
     folder = argv[0] if argv and "/" in argv[0] else "/root/testdata/sf0.01"
     keys = [k for k in argv if "/" not in k]
-    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false") \
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false") \
         .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracle, failed = connect(folder), entry.queries(), entry.oracle_sql(), []
