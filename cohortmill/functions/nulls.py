@@ -64,3 +64,12 @@ def all_of(conditions) -> Column:
 
 def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
+
+
+def complete(columns) -> Column:
+    """All columns known.
+
+    One condition per column rather than ``dropna``: its single condition over many columns makes
+    the optimizer derive a variant for every subset of renamed columns.
+    """
+    return all_of(number(c).isNotNull() for c in columns)

@@ -2,13 +2,14 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.nulls import number
+from ..functions.nulls import complete, number
+from ..functions.relate import cut_lineage
 from .layout import Wide
-from .normalize import batch_correct, standard_scale
+from .normalize import apply_shift, apply_vector_scale, as_vector, fit_shift, fit_vector_scale
 from .select import top_features
 from .shapes import pivot_wide
 from .stats import site_statistics
@@ -21,11 +22,16 @@ def fit_pca(wide: DataFrame, layout: Wide, n_components: int = 10, site: str | N
     missing value are left out unless ``fill`` replaces it.  A component is turned so that its
     largest loading (by absolute value) is positive.
     """
-    rows = wide.fillna(fill, subset=layout.values()) if fill is not None else wide.dropna(subset=layout.values())
+    columns = layout.values()
+    rows = wide.fillna(fill, subset=columns) if fill is not None else wide.where(complete(columns))
+    # Medians, scales, the fit and the scores all read these rows.
+    rows = cut_lineage(rows)
+    vectors = rows.withColumn("__v", as_vector(columns))
     if site:
-        rows = batch_correct(rows, layout, site)
-    scaled = standard_scale(rows, layout)
-    vectors = VectorAssembler(inputCols=layout.values(), outputCol="__features").transform(scaled)
+        vectors = apply_shift(vectors, "__v", fit_shift(rows, columns, site), site)
+    means, sds = fit_vector_scale(vectors, "__v", len(columns))
+    vectors = vectors.withColumn("__features", array_to_vector(apply_vector_scale("__v", means, sds)))
+    vectors = cut_lineage(vectors.drop(*columns, "__v"))
     k = min(n_components, len(layout.columns))
     model = PCA(k=k, inputCol="__features", outputCol="__scores").fit(vectors)
     loadings = model.pc.toArray()

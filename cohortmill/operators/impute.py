@@ -2,12 +2,13 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.nulls import complete
 from ..functions.relate import SALTS, attach
 
 
 def impute_drop(df: DataFrame, layout) -> DataFrame:
     """Drop rows with a missing (null or NaN) value in any feature."""
-    return df.dropna(subset=layout.values())
+    return df.where(complete(layout.values()))
 
 
 def impute_zero(df: DataFrame, layout) -> DataFrame:

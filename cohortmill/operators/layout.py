@@ -8,7 +8,7 @@ written once against the shared methods; all features are summarised in one aggr
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import all_of, number
 from ..functions.relate import attach, attach_checked
@@ -83,26 +83,34 @@ class Wide:
         return list(self.columns)
 
     def summarise(self, df: DataFrame, by=(), aggs=None, probs=None, accuracy=None, interpolate=False) -> DataFrame:
-        """One row (per group) holding a struct of statistics per feature column."""
+        """One row (per group) holding a struct of statistics per feature column.
+
+        Without groups the row is fetched now, a few numbers per column, and later steps see
+        constants instead of nested subqueries.
+        """
         by = list(by)
         exact = probs and not accuracy
+        sketched = probs if probs and accuracy else {}
 
         def fields(c):
             x = number(c)
             made = [fn(x).alias(n) for n, fn in (aggs or {}).items()]
-            if probs and accuracy:
-                sketch = F.percentile_approx(x, [float(p) for p in probs.values()], accuracy)
-                made += [sketch[i].alias(n) for i, n in enumerate(probs)]
+            if sketched:
+                sketch = F.percentile_approx(x, [float(p) for p in sketched.values()], accuracy)
+                made += [sketch[i].alias(n) for i, n in enumerate(sketched)]
             return made
 
-        plain = None
-        if aggs or not exact:
+        plain, q = None, None
+        if aggs or sketched:
             plain = df.groupBy(*by).agg(*[F.struct(*fields(c)).alias(c) for c in self.columns])
-        if not exact:
+        if exact:
+            casts = [f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)) AS `{c}`" for c in self.columns]
+            melted = df.selectExpr(*[f"`{k}`" for k in by], *casts).unpivot(by, list(self.columns), "__f", "__x")
+            q = exact_quantiles(melted, [*by, "__f"], "__x", list(probs.values()), interpolate)
+        if not by:
+            return self._constants(df, plain, q, aggs, sketched, probs if exact else {})
+        if q is None:
             return plain
-        casts = [f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)) AS `{c}`" for c in self.columns]
-        melted = df.selectExpr(*[f"`{k}`" for k in by], *casts).unpivot(by, list(self.columns), "__f", "__x")
-        q = exact_quantiles(melted, [*by, "__f"], "__x", list(probs.values()), interpolate)
         q = q.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__f", "q"))).alias("__q"))
         ready = q if plain is None else attach(plain, q, by)
 
@@ -112,38 +120,48 @@ class Wide:
 
         return ready.selectExpr(*[f"`{k}`" for k in by], *[packed(c) for c in self.columns])
 
+    def _constants(self, df, plain, q, aggs, sketched, exact) -> DataFrame:
+        names = [*(aggs or {}), *sketched, *exact]
+        row = plain.first() if plain is not None else {c: () for c in self.columns}
+        found = {r["__f"]: r["q"] for r in q.collect()} if q is not None else {}
+        missing = [None] * len(exact)
+        values = [tuple(None if v is None else float(v) for v in [*row[c], *found.get(c, missing)]) for c in self.columns]
+        struct = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+        return df.sparkSession.createDataFrame([tuple(values)], T.StructType([T.StructField(c, struct) for c in self.columns]))
+
     def as_rows(self, stats: DataFrame, by=(), feature: str = "feature_id") -> DataFrame:
         """Wide statistics as one row per (group, feature)."""
         return stats.unpivot(list(by), list(self.columns), feature, "__s").select(*by, feature, "__s.*")
 
     def _with(self, df, stats, by):
+        """(rows with the statistics at hand, how to read one): constants, or columns joined per group."""
+        if not by:
+            row = stats.first()
+            return df, lambda c: lambda n: F.lit(row[c][n]).cast("double")
         named = stats.selectExpr(*[f"`{k}`" for k in by], *[f"`{c}` AS `__s_{c}`" for c in self.columns])
-        return attach_checked(df, named, list(by), cells_per_row=8 * len(self.columns))
+        held = attach_checked(df, named, list(by), cells_per_row=8 * len(self.columns))
+        return held, lambda c: lambda n: F.expr(f"`__s_{c}`.`{n}`")
 
     def merge(self, stats, overall) -> DataFrame:
-        both = attach(stats, overall.selectExpr(*[f"`{c}` AS `__a_{c}`" for c in self.columns]), [])
+        row = overall.first()
         keys = [c for c in stats.columns if c not in self.columns]
-        mine = stats.schema[self.columns[0]].dataType.names
-        others = overall.schema[self.columns[0]].dataType.names
 
         def joined(c):
-            return ", ".join([f"`{c}`.`{n}` AS `{n}`" for n in mine] + [f"`__a_{c}`.`{n}` AS `all_{n}`" for n in others])
-
-        return both.selectExpr(*[f"`{k}`" for k in keys], *[f"struct({joined(c)}) AS `{c}`" for c in self.columns])
+            mine = [f"`{c}`.`{n}` AS `{n}`" for n in stats.schema[c].dataType.names]
+            theirs = [f"CAST({'NULL' if v is None else repr(v) + 'D'} AS DOUBLE) AS `all_{n}`" for n, v in row[c].asDict().items()]
+            return ", ".join(mine + theirs)
 
-    @staticmethod
-    def _statistic(c):
-        return lambda n: F.expr(f"`__s_{c}`.`{n}`")
+        return stats.selectExpr(*[f"`{k}`" for k in keys], *[f"struct({joined(c)}) AS `{c}`" for c in self.columns])
 
     def apply(self, df, stats, rule, by=(), name=lambda c: c) -> DataFrame:
-        held = self._with(df, stats, by)
-        made = {name(c): rule(number(c), self._statistic(c)) for c in self.columns}
+        held, statistic = self._with(df, stats, by)
+        made = {name(c): rule(number(c), statistic(c)) for c in self.columns}
         return held.select(*[made.pop(c).alias(c) if c in made else c for c in df.columns],
                            *[e.alias(n) for n, e in made.items()])
 
     def keep(self, df, stats, rule, by=()) -> DataFrame:
-        held = self._with(df, stats, by)
-        return held.where(all_of(rule(number(c), self._statistic(c)) for c in self.columns)).select(*df.columns)
+        held, statistic = self._with(df, stats, by)
+        return held.where(all_of(rule(number(c), statistic(c)) for c in self.columns)).select(*df.columns)
 
     def project(self, df, fn, name=lambda c: c) -> DataFrame:
         return df.withColumns({name(c): fn(number(c)) for c in self.columns})

@@ -3,9 +3,10 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.measures import log_of
-from ..functions.nulls import holds, number
+from ..functions.nulls import holds, number, quoted
+from ..functions.relate import attach, attach_checked
 from .layout import Long
-from .ranking import spread_row_number
+from .ranking import exact_quantiles, spread_row_number
 
 
 def log_transform(df: DataFrame, layout, base: str = "log2", offset: float = 1.0) -> DataFrame:
@@ -132,3 +133,48 @@ def apply_scale(df: DataFrame, layout, stats: DataFrame) -> DataFrame:
 
 def standard_scale(df: DataFrame, layout, train: DataFrame | None = None) -> DataFrame:
     return apply_scale(df, layout, fit_scale(df if train is None else train, layout))
+
+
+# The same corrections on one array column, for model inputs of many columns: the plan then holds a
+# handful of expressions whatever the number of features.
+
+def as_vector(columns):
+    """Array of the columns as doubles, NaN as null."""
+    return F.expr("array(" + ", ".join(f"nanvl(CAST({quoted(c)} AS DOUBLE), CAST(NULL AS DOUBLE))" for c in columns) + ")")
+
+
+def constants(values):
+    return F.expr("array(" + ", ".join(f"CAST({float(v)!r} AS DOUBLE)" for v in values) + ")")
+
+
+def fit_shift(train: DataFrame, columns, site: str = "site") -> DataFrame:
+    """Per site the amounts (overall median - site median) to add, as array ``shift`` in column order."""
+    columns = list(columns)
+    casts = [f"nanvl(CAST({quoted(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS `{c}`" for c in columns]
+    melted = train.selectExpr(f"`{site}`", *casts).unpivot([site], columns, "__f", "__x")
+    per_site = exact_quantiles(melted, [site, "__f"], "__x", [0.5]).select(site, "__f", F.col("q")[0].alias("m"))
+    overall = exact_quantiles(melted, ["__f"], "__x", [0.5]).select("__f", F.col("q")[0].alias("g"))
+    moves = attach(per_site, overall, ["__f"]).groupBy(site).agg(
+        F.map_from_entries(F.collect_list(F.struct("__f", F.col("g") - F.col("m")))).alias("__m"))
+    names = F.expr("array(" + ", ".join(repr(c) for c in columns) + ")")
+    return moves.select(site, F.transform(names, lambda n: F.coalesce(F.col("__m")[n], F.lit(0.0))).alias("shift"))
+
+
+def apply_shift(df: DataFrame, vector: str, shifts: DataFrame, site: str = "site") -> DataFrame:
+    """Add the site's shift to the vector; an unseen site stays as it is."""
+    held = attach_checked(df, shifts, [site], cells_per_row=1_000)
+    moved = F.zip_with(vector, F.coalesce("shift", F.array().cast("array<double>")), lambda x, s: x + F.coalesce(s, F.lit(0.0)))
+    return held.withColumn(vector, moved).drop("shift")
+
+
+def fit_vector_scale(df: DataFrame, vector: str, size: int) -> tuple[list[float], list[float]]:
+    """Means and population standard deviations (1 for constant positions) of a vector; one row is fetched."""
+    row = df.select(vector).selectExpr(*[f"avg(`{vector}`[{i}]) AS m{i}" for i in range(size)],
+                                       *[f"stddev_pop(`{vector}`[{i}]) AS s{i}" for i in range(size)]).first()
+    return [float(row[f"m{i}"] or 0.0) for i in range(size)], [float(row[f"s{i}"] or 1.0) for i in range(size)]
+
+
+def apply_vector_scale(vector, means, sds):
+    """(x - mean) / sd, with missing values at the mean."""
+    centred = F.zip_with(vector, constants(means), lambda x, m: x - m)
+    return F.zip_with(centred, constants(sds), lambda x, s: F.coalesce(x / s, F.lit(0.0)))

@@ -4,6 +4,7 @@
 """
 
 import math
+import signal
 import sys
 import time
 
@@ -62,13 +63,20 @@ def main(argv):
         .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracle, failed = connect(folder), entry.queries(), entry.oracle_sql(), []
+
+    def expired(*_):
+        raise TimeoutError("took longer than 120 s")
+
+    signal.signal(signal.SIGALRM, expired)
     for key in keys or queries:
         start = time.time()
+        signal.alarm(120)
         try:
             df = queries[key](spark, folder)
             problem = compare(con, df, oracle[key]) if key in oracle else (None if df.count() else "no rows")
         except Exception as e:
             problem = f"{type(e).__name__}: {str(e)[:900]}"
+        signal.alarm(0)
         n = "" if problem else ("" if key in oracle else "(rows only)")
         print(f"{'FAIL' if problem else 'ok  '} {key} {time.time() - start:.2f}s {problem or n}", flush=True)
         failed += [key] if problem else []

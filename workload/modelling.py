@@ -1,5 +1,6 @@
 """Exploration, metrics, sampling, boosted trees and the jobs."""
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cohortmill.operators import boosting, cohort, explore, sampling, scoring
@@ -114,7 +115,7 @@ def _(t):
     return sampling.random_undersample(t["scored"], "label", "event_id", 0.5).select("event_id", "label")
 
 
-DIST = """(SELECT a.vec_id AS maj, b.vec_id AS mino, sqrt(list_sum(list_transform(range(1, 65), i -> (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2))) AS d
+DIST = """(SELECT a.vec_id AS maj, b.vec_id AS mino, sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2))) AS d
     FROM {embeddings} a, {embeddings} b WHERE a.label < 7 AND b.label >= 7)"""
 
 
@@ -151,7 +152,7 @@ def _(t):
 
 @query("tomek_links", """
     WITH d AS (SELECT a.vec_id AS x, b.vec_id AS y, a.label >= 7 AS mx, b.label >= 7 AS my,
-                      list_sum(list_transform(range(1, 65), i -> (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2)) AS d
+                      list_sum(list_transform(range(1, 65), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2)) AS d
                FROM {embeddings} a, {embeddings} b WHERE a.vec_id <> b.vec_id),
     nn AS (SELECT x, min(d) AS m FROM d GROUP BY x)
     SELECT vec_id FROM {embeddings} WHERE vec_id NOT IN (
@@ -172,8 +173,8 @@ def trained(t):
 @query("gbt_classifier")
 def _(t):
     rows = labelled(t)
-    model = boosting.fit_gbt(rows, FEATURES, "outcome", PARAMS)
-    return boosting.scored(model, rows, ["vec_id", "outcome"])
+    vectors = rows.select("vec_id", "outcome", array_to_vector(F.array(*FEATURES)).alias("features"))
+    return boosting.scored(boosting.fit_gbt(vectors, "outcome", PARAMS), vectors, ["vec_id", "outcome"])
 
 
 @query("tune_random_search")
@@ -203,7 +204,7 @@ def _(t):
 def _(t):
     rows = labelled(t).withColumn("maternal_age", F.col("label") * 1.5 + 18)
     model = boosting.train(rows, FEATURES[:6], boosting.covariates_for("biosample", rows), "outcome", "vec_id", PARAMS)
-    return model.prepare(rows).select("vec_id", *FEATURES[:6], "maternal_age")
+    return model.prepare(rows, ["vec_id"]).select("vec_id", vector_to_array("features").alias("features"))
 
 
 @query("permutation_importance")
