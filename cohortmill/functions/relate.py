@@ -16,7 +16,7 @@ def attach(rows: DataFrame, stats: DataFrame, by, how: str = "left", salts: int
     Null keys match null keys.  Without keys ``stats`` is a single aggregated row and is read as
     a scalar subquery.  With keys the join strategy is left to the optimizer, which broadcasts
     only below its size threshold.  ``salts`` > 1 spreads each key's rows over that many join
-    keys, against as many copies of the statistics: a hot key is split even in a shuffled join,
+    keys (by a hash of the leading columns) against as many copies of the statistics: a hot key is split even in a shuffled join,
     and a later aggregation on a superset of ``by`` cannot inherit a skewed partitioning.
     """
     by = list(by)
@@ -30,7 +30,7 @@ def attach(rows: DataFrame, stats: DataFrame, by, how: str = "left", salts: int
                          *[F.col(c).alias(f"__add_{i}") for i, c in enumerate(added)])
     match = [F.col(c).eqNullSafe(F.col(f"__key_{i}")) for i, c in enumerate(by)]
     if salts > 1:
-        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*columns[:6]), F.lit(salts)).cast("int"))
         keyed = keyed.withColumn("__copy", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
         match.append(F.col("__salt") == F.col("__copy"))
     joined = rows.join(keyed, all_of(match), how)

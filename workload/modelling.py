@@ -165,21 +165,25 @@ PARAMS = boosting.TreeParams(max_depth=3, n_estimators=8, min_child_weight=5, sa
 FEATURES = list(WIDE.columns[:16])
 
 
+def narrow(t):
+    return labelled(t).select("vec_id", "site", "outcome", "dataset_assignment", *FEATURES)
+
+
 def trained(t):
-    rows = labelled(t)
+    rows = narrow(t)
     return rows, boosting.final_model(rows, FEATURES, [], "outcome", "vec_id", PARAMS)
 
 
 @query("gbt_classifier")
 def _(t):
-    rows = labelled(t)
+    rows = narrow(t)
     vectors = rows.select("vec_id", "outcome", array_to_vector(F.array(*FEATURES)).alias("features"))
     return boosting.scored(boosting.fit_gbt(vectors, "outcome", PARAMS), vectors, ["vec_id", "outcome"])
 
 
 @query("tune_random_search")
 def _(t):
-    return boosting.tune_random_search(labelled(t), FEATURES[:6], [], "outcome", "vec_id", n_trials=2, n_splits=3, samplers=("random",))[1]
+    return boosting.tune_random_search(narrow(t), FEATURES[:6], [], "outcome", "vec_id", n_trials=2, n_splits=3, samplers=("random",))[1]
 
 
 @query("final_model")
@@ -202,7 +206,7 @@ def _(t):
 
 @query("add_covariates")
 def _(t):
-    rows = labelled(t).withColumn("maternal_age", F.col("label") * 1.5 + 18)
+    rows = narrow(t).withColumn("maternal_age", F.col("site") * 1.5 + 18)
     model = boosting.train(rows, FEATURES[:6], boosting.covariates_for("biosample", rows), "outcome", "vec_id", PARAMS)
     return model.prepare(rows, ["vec_id"]).select("vec_id", vector_to_array("features").alias("features"))
 
@@ -257,6 +261,6 @@ def _(t):
 
 @query("job_eda")
 def _(t):
-    rows = labelled(t).withColumn("subject_id", F.col("vec_id"))
+    rows = narrow(t).withColumn("subject_id", F.col("vec_id"))
     reports = jobs.explore_dataset(rows, FEATURES, "outcome", "vec_id")
     return reports["characteristics"]
