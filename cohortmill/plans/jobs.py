@@ -119,6 +119,8 @@ def predict(curated: DataFrame, intensity: DataFrame, features, outcome: str, ki
     rates = select.feature_stats(filled, Wide(columns))
     present = {r[0] for r in select.keep_by_missing(rates, 0.0).select("feature_id").collect()}
     usable = [c for c in columns if c in present]
+    if not usable:
+        raise ValueError("no feature without missing values; impute the intensities first")
     covariates = boosting.covariates_for(kind, dataset)
     best, trials = boosting.tune_random_search(
         filled, usable, covariates, outcome, key, n_trials, timeout, seed=seed, parallelism=parallelism, samplers=samplers, n_splits=n_splits)

@@ -3,7 +3,7 @@
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from cohortmill.operators import boosting, cohort, explore, sampling, scoring
+from cohortmill.operators import boosting, cohort, explore, sampling, scoring, shapes
 from cohortmill.plans import jobs
 
 from .derivation import scratch
@@ -237,6 +237,22 @@ def _(t):
     return jobs.discover(discovery_inputs(t), "ptb")["comparison_summary"]
 
 
+def dense(t):
+    """Four measures of every order, complete for each sample, as intensities."""
+    per_order = t["lineitem"].groupBy(F.col("l_orderkey").alias("sample_id")).agg(
+        F.avg("l_quantity").alias("quantity"), F.avg(F.ln("l_extendedprice")).alias("price"), F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"))
+    rows = shapes.melt(per_order, ["sample_id"], ["quantity", "price", "discount", "tax"], "feature_label", "intensity_fill_log_scaled")
+    sites = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("sample_id"), F.col("c_mktsegment").alias("site"))
+    return rows.join(sites, "sample_id")
+
+
+def dense_inputs(t):
+    rows = dense(t)
+    alignment = rows.select("site", "feature_label", F.concat(F.lit("F_"), "feature_label").alias("unique_feature_label")).distinct()
+    annotation = t["annotation"].select("unique_feature_label", "compound_id", "compound_class")
+    return jobs.DiscoveryInputs(t["metadata"], manifest(t), rows, alignment, annotation, t["previous"])
+
+
 SMALL = {"n_trials": 1, "n_splits": 6, "samplers": ("random",)}
 
 
@@ -245,12 +261,13 @@ def _(t):
     inputs = discovery_inputs(t)
     curated = jobs.curate(jobs.prepare_metadata(inputs.metadata, inputs.manifest), "ptb")
     visits = curated.select("sample_id", "subject_id", "site", "ptb", "dataset_assignment", "maternal_age", "ga_sample_days", "ga_birth_days", "high_risk", "bmi")
-    return jobs.predict(visits, t["long"].withColumn("feature_id", F.col("feature_id").cast("string")), range(8), "ptb", **SMALL)["lockbox_metrics"]
+    intensity = dense(t).select("sample_id", F.col("feature_label").alias("feature_id"), F.col("intensity_fill_log_scaled").alias("value"))
+    return jobs.predict(visits, intensity, ["quantity", "price", "discount", "tax"], "ptb", **SMALL)["lockbox_metrics"]
 
 
 @query("job_full")
 def _(t):
-    out = jobs.full(discovery_inputs(t), "ptb", mode="user_specified", user_list=["F1", "F2", "F3"], **SMALL)
+    out = jobs.full(dense_inputs(t), "ptb", mode="user_specified", user_list=["F_quantity", "F_price", "F_tax"], **SMALL)
     return jobs.run_summary(t.spark, out)
 
 
