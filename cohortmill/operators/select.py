@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.measures import missing_rate, pearson, zero_rate
 from ..functions.nulls import holds, number
-from ..functions.relate import attach, first_per_key
+from ..functions.relate import attach, attach_checked, first_per_key
 
 
 def feature_stats(df: DataFrame, layout, target: str | None = None) -> DataFrame:
@@ -51,7 +51,9 @@ def drop_low_quality(df: DataFrame, layout, missing: float = 0.5, zero: float =
         gone = {r["feature_id"] for r in removed.select("feature_id").collect()}
         names = [c for c in layout.columns if c not in gone]
         return df.drop(*gone), type(layout)(names), sorted(gone)
-    return df.join(kept, layout.feature, "left_semi"), kept.select(layout.feature), removed.select(layout.feature)
+    flag = kept.select(layout.feature, F.lit(True).alias("__kept"))
+    rows = attach_checked(df, flag, [layout.feature], "inner").drop("__kept")
+    return rows, kept.select(layout.feature), removed.select(layout.feature)
 
 
 def drop_features_with_nulls(df: DataFrame, layout):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cohortmill.operators import impute, normalize, outlier, select
+from cohortmill.operators import clean, impute, normalize, outlier, select
 from cohortmill.operators.layout import Long, Wide
 
 from .registry import query
@@ -130,8 +130,7 @@ def _(t):
     SELECT sample_id, feature_id, CASE WHEN value < q1 - 0.5 * (q3 - q1) THEN q1 - 0.5 * (q3 - q1) WHEN value > q3 + 0.5 * (q3 - q1) THEN q3 + 0.5 * (q3 - q1) ELSE value END AS value
     FROM filled JOIN bounds USING (feature_id)""", "value", 4)
 def _(t):
-    kept = select.drop_low_quality(t["long_missing"], LONG)[0]
-    return picked(outlier.handle_outliers(impute.impute(kept, LONG), LONG, "iqr", 0.5), "value")
+    return picked(clean.clean_intensity(t["long_missing"], LONG, threshold=0.5)[0], "value")
 
 
 @query("log_transform", "SELECT sample_id, feature_id, log2(value + 1) AS log2_value, log10(value + 1) AS log10_value, ln(value + 1) AS ln_value FROM {long_missing}",
