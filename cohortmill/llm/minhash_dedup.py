@@ -3,8 +3,9 @@
 Documents with equal shingle sets form a class and only its first takes part.  A class falls into one bucket
 per band of its signature.  In every bucket the smallest id is the centre of a star: the others are
 compared with it only.  Buckets whose members are then still in several components get further
-stars, and at last the remaining pairs across components, so that no link found by a bucket is
-lost to the components.  Every comparison is of full sets.
+stars.  What still is apart is settled in clusters of such buckets: the documents outside a
+cluster's largest component are held in blocks, and all of the cluster pass by each block, so that no link found by
+a bucket is lost to the components and no list of pairs is made.  Every comparison is of full sets.
 """
 
 import hashlib
@@ -20,8 +21,9 @@ BANDS, ROWS = 36, 6
 BINS = BANDS * ROWS
 # Members of a star that are compared in one task.
 STAR = 500
-# Stars before the remaining pairs are compared one by one.
+# Stars before the rest is settled in clusters, and documents of a cluster that a task holds.
 STARS = 3
+BLOCK = 300
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -119,30 +121,95 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int, scratch:
         F.col("b").alias("id"), F.struct("a", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("member")).alias("to"))
     centres = stars.select("a", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")).select(
         F.col("a").alias("id"), F.struct("a", "salt", F.lit(0).alias("role"), F.lit(None).cast("long").alias("member")).alias("to"))
-    routes = members.unionAll(centres).groupBy("id").agg(F.collect_list("to").alias("to"))
+    return _gather(docs, members.unionAll(centres), width).mapInArrow(_compare(percent), "a long, b long, linked boolean").distinct()
+
+
+def _gather(docs: DataFrame, routes: DataFrame, width: int) -> DataFrame:
+    """The sets of documents, sent along ``routes`` (id, to: a, salt, role, member), sorted where they arrive."""
 
     def send(batches):
         for batch in batches:
             texts, routes = as_bytes(batch.column(0)), batch.column(1).to_pylist()
             for a, b in groups_of_texts(texts):
-                out = []
+                out, size = [], 0
                 for own, to in zip(shingle_sets(texts[a:b], width), routes[a:b]):
                     data = own.tobytes()
-                    out += [(r["a"], r["salt"], r["role"], r["member"], data) for r in to]
-                    if len(out) * len(data) > 1 << 24 or len(out) > 20_000:
-                        yield _routed(out)
-                        out = []
+                    for r in to:
+                        out.append((r["a"], r["salt"], r["role"], r["member"], data))
+                        size += len(data) + 40
+                        if size > 1 << 24:
+                            yield packed(out)
+                            out, size = [], 0
                 if out:
-                    yield _routed(out)
+                    yield packed(out)
+
+    def packed(rows):
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["a", "salt", "role", "member", "data"])
+
+    lists = routes.groupBy("id").agg(F.collect_list("to").alias("to"))
+    placed = docs.join(lists.hint("shuffle_hash"), "id").select("text", "to").mapInArrow(send, "a long, salt int, role int, member long, data binary")
+    return placed.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
+
+
+def _settle(percent: int):
+    """Rows of a block: held sets (role 0), then all of the cluster; ``member`` is the document's component.
+
+    Yields a link for every two components that a pair of documents joins, once per block.
+    """
+
+    def run(batches):
+        now, held, index = None, [], None
+        for batch in batches:
+            links = []
+            for cluster, block, role, component, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if (cluster, block) != now:
+                    now, held, index, root = (cluster, block), [], None, {}
+                data = np.frombuffer(data, np.uint64)
+                if role == 0:
+                    held.append((component, data))
+                    continue
+                if index is None and held:
+                    codes = np.concatenate([h[1] for h in held])
+                    order = np.argsort(codes, kind="stable")
+                    index = codes[order], np.repeat(np.arange(len(held)), [len(h[1]) for h in held])[order]
+                    sizes, labels = np.array([len(h[1]) for h in held]), np.array([h[0] for h in held])
+                if not held:
+                    continue
+                low, high = np.searchsorted(index[0], data, "left"), np.searchsorted(index[0], data, "right")
+                n = high - low
+                hit = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                both = np.bincount(index[1][hit], minlength=len(held))
+                near = (100 * both >= percent * (sizes + len(data) - both)) & (labels != component)
+                for other in set(labels[near].tolist()):
+                    x, y = _root(root, component), _root(root, other)
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        links.append((component, other))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return run
 
-    placed = docs.join(routes.hint("shuffle_hash"), "id").select("text", "to").mapInArrow(send, "a long, salt int, role int, member long, data binary")
-    met = placed.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return met.mapInArrow(_compare(percent), "a long, b long, linked boolean").distinct()
 
+def _root(root: dict, x: int) -> int:
+    while x in root:
+        x = root[x]
+    return x
 
-def _routed(rows) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["a", "salt", "role", "member", "data"])
+
+def settle(open_: DataFrame, docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between components that share buckets in ``open_`` (bucket, rep, component)."""
+    centre = scratch.keep(open_.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("w")))
+    total = centre.agg(F.sum("w")).head()[0] or 0
+    cluster = components(lookup(open_.select("bucket", "rep"), centre, ["bucket"], "w", total).select(F.col("rep").alias("a"), F.col("centre").alias("b")), scratch)
+    members = scratch.keep(open_.select(F.col("rep").alias("id"), F.col("component").alias("own")).distinct().join(cluster.withColumnRenamed("component", "cluster"), "id"))
+    parts = members.groupBy("cluster", "own").agg(F.count("*").alias("k"))
+    main = scratch.keep(parts.groupBy("cluster").agg(F.max_by("own", F.struct("k", "own")).alias("main"), F.sum("k").alias("w"), F.max("k").alias("most")))
+    placed = lookup(members, main, ["cluster"], "w", members.count())
+    blocks = F.ceil((F.col("w") - F.col("most")) / BLOCK).cast("int")
+    to = lambda salt, role: F.struct(F.col("cluster").alias("a"), salt.alias("salt"), F.lit(role).alias("role"), F.col("own").alias("member"))
+    held = placed.where("own <> main").select("id", to(F.pmod(F.xxhash64("id"), blocks).cast("int"), 0).alias("to"))
+    passing = placed.select("id", "cluster", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("salt")).select("id", to(F.col("salt"), 1).alias("to"))
+    return _gather(docs, held.unionAll(passing), width).mapInArrow(_settle(percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
@@ -175,17 +242,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, scratch:
             open_ = _open_buckets(members.select("bucket", "rep", "n"), component, scratch)
             if not open_.limit(1).count():
                 break
-            if star < STARS - 1:
-                pairs = _next_star(open_, star, percent, scratch)
-            else:
-                x, y = (open_.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "component")]) for k in "xy")
-                pairs = x.join(y, "bucket").where("rep_x < rep_y AND component_x <> component_y").where(
-                    F.greatest("n_x", "n_y") * percent <= F.least("n_x", "n_y") * 100).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
+            if star == STARS - 1:
+                links = tested.where("linked").select("a", "b").unionAll(settle(open_, rows, width, percent, scratch))
+                component = scratch.keep(components(links, scratch))
+                break
+            pairs = _next_star(open_, star, percent, scratch)
             new = pairs.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti").join(
                 tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
             tested = scratch.keep(tested.unionAll(verify(new, rows, width, percent, scratch)))
-        else:
-            component = scratch.keep(components(tested.where("linked").select("a", "b"), scratch))
     component = component if component is not None else components(links, scratch)
     classed = scratch.keep(classes.select("digest", "rep", "copies").join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component"), "copies"))
