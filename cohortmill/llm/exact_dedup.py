@@ -40,8 +40,7 @@ def exact_dedup(docs: DataFrame, scratch: Scratch | None = None, salts: int = 16
 
 def without_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with one row of each text, all columns unchanged."""
-    kept = exact_dedup(docs, scratch).where("kept").select(F.col("doc_id").alias("__kept"))
-    stay = docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
-
-
+    kept = exact_dedup(docs, scratch).where("kept").select(F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__kept_text")).distinct()
+    marked = docs.withColumn("__text", F.sha2(text_or_empty(), 256))
+    stay = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__text") == F.col("__kept_text")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)

@@ -56,13 +56,23 @@ def posteriors(docs: DataFrame, model) -> DataFrame:
     return made.withColumn("tokens", F.size("__words").cast("long")).withColumn("p", p).drop("__text", "__words", "__counts", "__raw", "__p", "__best")
 
 
+def _state(p: Column, steps: list[list[float]]) -> Column:
+    """x, the rate after ``steps``, and y, where the next gradient is taken: x carried on along its last move."""
+    begin = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
+    if not steps:
+        return begin
+    taken = F.array(*[F.array(*[F.lit(float(v)) for v in (*s, k / (k + 3))]) for k, s in enumerate(steps)])
+
+    def move(at, s):
+        x = F.greatest(F.lit(0.0), at["y"] - sum((F.get(p, F.lit(k)) * F.get(s, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0)))
+        return F.struct(x.alias("x"), (x + F.get(s, F.lit(len(DOMAINS))) * (x - at["x"])).alias("y"))
+
+    return F.aggregate(taken, begin, move)
+
+
 def rate(p: Column, steps: list[list[float]]) -> Column:
     """The rate after ``steps``: from one, along each step's direction, never below zero."""
-    if not steps:
-        return F.lit(1.0)
-    taken = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-    return F.aggregate(taken, F.lit(1.0), lambda x, s: F.greatest(
-        F.lit(0.0), x - sum((F.get(p, F.lit(k)) * F.get(s, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))))
+    return _state(p, steps)["x"]
 
 
 def _inverse(rows: list[list[float]], ridge: float) -> list[list[float]]:
@@ -79,7 +89,7 @@ def _inverse(rows: list[list[float]], ridge: float) -> list[list[float]]:
     return [r[k:] for r in m]
 
 
-def fit_rates(held: DataFrame, targets: dict[str, float], budget: float = 1.0, most_steps: int = 25, tolerance: float = 1e-4) -> tuple[list[list[float]], list[float]]:
+def fit_rates(held: DataFrame, targets: dict[str, float], budget: float = 1.0, most_steps: int = 60, tolerance: float = 1e-4) -> tuple[list[list[float]], list[float]]:
     """Steps of the descent for ``held`` (tokens, p), and the expected share of ``budget`` that each domain is left with.
 
     ``targets`` are weights of DOMAINS; the expected tokens of a domain are to be its share of
@@ -96,12 +106,12 @@ def fit_rates(held: DataFrame, targets: dict[str, float], budget: float = 1.0, m
     weight = _inverse([[moment[f"m{i}{j}"] / total for j in k] for i in k], 1e-6)
     steps: list[list[float]] = []
     while True:
-        x = rate(F.col("p"), steps)
-        got = held.select("tokens", "p", x.alias("x")).agg(*[F.sum(F.col("x") * F.col("tokens") * F.get("p", F.lit(i))).alias(f"s{i}") for i in k]).head()
-        shares = [got[f"s{i}"] / total for i in k]
-        missing = [s - g for s, g in zip(shares, goal)]
-        if max(map(abs, missing)) <= tolerance * budget or len(steps) == most_steps:
+        at = held.select("tokens", "p", _state(F.col("p"), steps).alias("at"))
+        sums = at.agg(*[F.sum(F.col(f"at.{v}") * F.col("tokens") * F.get("p", F.lit(i))).alias(f"{v}{i}") for v in "xy" for i in k]).head()
+        shares = [sums[f"x{i}"] / total for i in k]
+        if max(abs(s - g) for s, g in zip(shares, goal)) <= tolerance * budget or len(steps) == most_steps:
             return steps, shares
+        missing = [sums[f"y{i}"] / total - goal[i] for i in k]
         steps.append([round(sum(weight[i][j] * missing[j] for j in k), 9) for i in k])
 
 
