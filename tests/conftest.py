@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -7,6 +9,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
