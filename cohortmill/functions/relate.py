@@ -1,7 +1,5 @@
 """Joining small statistics to rows, spreading rows, and cutting lineage."""
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .nulls import all_of
@@ -16,7 +14,7 @@ def attach(rows: DataFrame, stats: DataFrame, by, how: str = "left", salts: int
     Null keys match null keys.  Without keys ``stats`` is a single aggregated row and is read as
     a scalar subquery.  With keys the join strategy is left to the optimizer, which broadcasts
     only below its size threshold.  ``salts`` > 1 spreads each key's rows over that many join
-    keys (by a hash of the leading columns) against as many copies of the statistics: a hot key is split even in a shuffled join,
+    keys (by a hash of the row) against as many copies of the statistics: a hot key is split even in a shuffled join,
     and a later aggregation on a superset of ``by`` cannot inherit a skewed partitioning.
     """
     by = list(by)
@@ -30,7 +28,7 @@ def attach(rows: DataFrame, stats: DataFrame, by, how: str = "left", salts: int
                          *[F.col(c).alias(f"__add_{i}") for i, c in enumerate(added)])
     match = [F.col(c).eqNullSafe(F.col(f"__key_{i}")) for i, c in enumerate(by)]
     if salts > 1:
-        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*columns[:6]), F.lit(salts)).cast("int"))
+        rows = rows.withColumn("__salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
         keyed = keyed.withColumn("__copy", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
         match.append(F.col("__salt") == F.col("__copy"))
     joined = rows.join(keyed, all_of(match), how)
@@ -69,15 +67,15 @@ def md5_order(seed, *keys) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
+def shared_folder(spark) -> str:
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the session's warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

@@ -1,11 +1,13 @@
 """Equi-joins of the cohort workflow.
 
-No side is broadcast by hint: annotation and alignment tables are small in practice but have no
-proven bound, so the optimizer decides by size and splits skewed partitions at run time.
+The alignment is looked up by measured size.  Otherwise no side is broadcast by hint: the optimizer
+decides by size and splits skewed partitions at run time.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.relate import attach_checked
+
 
 def with_manifest(metadata: DataFrame, manifest: DataFrame, keys=("site", "orig_id", "visitdt")) -> DataFrame:
     """Samples listed in the manifest, with its ``sample_id``."""
@@ -13,7 +15,8 @@ def with_manifest(metadata: DataFrame, manifest: DataFrame, keys=("site", "orig_
 
 
 def with_alignment(intensity: DataFrame, alignment: DataFrame, keys=("site", "feature_label")) -> DataFrame:
-    return intensity.join(alignment, on=list(keys), how="inner")
+    """Intensities with the labels of the alignment; few keys hold all rows, so a small alignment is broadcast."""
+    return attach_checked(intensity, alignment.dropna(subset=list(keys)), keys, "inner")
 
 
 def with_cohort(cohort: DataFrame, intensity: DataFrame, key: str = "sample_id") -> DataFrame:

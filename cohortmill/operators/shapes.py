@@ -62,18 +62,17 @@ def subject_spans(metadata: DataFrame, subject: str = "subject_id", time: str =
 
 
 def subject_baseline(metadata: DataFrame, carry=(), subject: str = "subject_id", sample: str = "sample_id",
-                     time: str = "ga_sample_days", list_limit: int = 10_000) -> DataFrame:
+                     time: str = "ga_sample_days") -> DataFrame:
     """Per subject: time points, span, the ``carry`` columns at the first visit, and ``sample_ids``.
 
-    ``sample_ids`` joins the ids with ``;`` in time order.  A text cell cannot hold an unbounded
-    list, so beyond ``list_limit`` samples it is null and ``subject_samples`` has the rows.
+    ``sample_ids`` joins all ids with ``;`` in time order, in one text cell per subject; for subjects
+    with more samples than such a cell should hold, ``subject_samples`` has them as rows.
     """
     spans = subject_spans(metadata, subject, time)
     first = metadata.groupBy(subject).agg(
         F.min_by(F.struct(F.lit(1).alias("__one"), *carry), F.struct(time, sample)).alias("__f")) \
         .select(subject, *[F.col("__f").getField(c).alias(c) for c in carry])
-    short = spans.where(F.col("n_timepoints") <= list_limit)
-    listed = metadata.select(subject, time, sample).join(short.select(subject), subject, "left_semi").groupBy(subject).agg(
+    listed = metadata.groupBy(subject).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(time, sample))),
                                  lambda s: s.getField(sample).cast("string")), ";").alias("sample_ids"))
     return attach(attach(spans, first, [subject]), listed, [subject])

@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.nulls import holds
 from ..functions.relate import cut_lineage
 from ..operators import assoc, boosting, cohort, derive, explore, impute, joins, select, shapes, stats
 from ..operators.layout import Wide
@@ -81,14 +82,17 @@ def make_dataset(kind: str, curated: DataFrame, intensity: DataFrame, features,
 
 
 def explore_dataset(dataset: DataFrame, features, outcome: str, key: str = "sample_id", subject: str = "subject_id",
-                    n_components: int = 10, max_features: int = 50) -> dict[str, DataFrame]:
-    """Characteristics, counts, site statistics, components, batch effects and correlations of a dataset."""
+                    n_components: int = 10, max_features: int | None = None) -> dict[str, DataFrame]:
+    """Characteristics, counts, site statistics, components, batch effects and correlations of a dataset.
+
+    Correlations cover all features, or the ``max_features`` most variable ones if asked for.
+    """
     features = list(features)
     long = shapes.melt(dataset, list(dict.fromkeys([key, "site"])), features)
     flags = [c for c in derive.POPULATIONS if c in dataset.columns]
     layout = Wide(features)
     feature_stats = select.feature_stats(dataset, layout)
-    top = [r[0] for r in select.top_features(feature_stats, max_features).select("feature_id").collect()]
+    top = features if max_features is None else [r[0] for r in select.top_features(feature_stats, max_features).select("feature_id").collect()]
     corr = cut_lineage(explore.feature_corr_matrix(dataset, top))
     fitted = explore.fit_pca(dataset, layout, n_components, "site", fill=0.0)
     covariates = boosting.covariates_for("biosample", dataset)
@@ -116,7 +120,8 @@ def predict(curated: DataFrame, intensity: DataFrame, features, outcome: str, ki
     key = "subject_id" if kind == "subject" else "sample_id"
     columns = [*features, *[f"{f}_auc" for f in features]] if kind == "subject" else features
     filled = derive.population(dataset, who)
-    rates = select.feature_stats(filled, Wide(columns))
+    # the lockbox takes no part in any choice
+    rates = select.feature_stats(filled.where(~holds(F.col("dataset_assignment") == cohort.LOCKBOX)), Wide(columns))
     present = {r[0] for r in select.keep_by_missing(rates, 0.0).select("feature_id").collect()}
     usable = [c for c in columns if c in present]
     if not usable:

@@ -26,53 +26,15 @@ DATA_TYPES = [
     (("deliverables",), "deliverable"),
     (("alignment",), "alignment_data"),
 ]
-SUB_DATA_TYPES = [
-    (("manifest_kim",), "manifest_kim (original manifests)"),
-    (("manifest_cleaned",), "manifest_cleaned (cleaned manifests)"),
-    (("combined_imputed_metadata",), "combined_imputed_metadata"),
-    (("stratified_metadata",), "stratified_metadata"),
-    (("feature_metadata",), "feature_metadata"),
-    (("sample_metadata",), "sample_metadata"),
-    (("maternal_intensities_preprocessed_long", "intensity_data"), "maternal_preprocessed_intensities"),
-    (("project_deliverables",), "project_deliverables"),
-    (("data_analysis",), "data_analysis_intermediate"),
-    (("alignment",), "alignment_data"),
-]
-PURPOSES = [
-    (("melted_paired_alignment_uniq_to_site_long_format",), "alignment of features across sites"),
-    (("meta_data", "metadata"), "subject, sample or derived variables"),
-    (("manifest_kim",), "sample manifest before cleaning"),
-    (("manifest_cleaned",), "sample manifest after cleaning"),
-    (("combined_imputed_metadata",), "metadata with imputed covariates"),
-    (("stratified_metadata",), "samples grouped by outcome and gestational age"),
-    (("preprocessed_maternal_data", "intensity_data"), "preprocessed intensities"),
-    (("feature_metadata",), "feature properties"),
-    (("sample_metadata",), "sample variables for integration"),
-    (("regression_analysis",), "association input or results"),
-    (("pooled_regression_results",), "pooled association results"),
-    (("comparing_to_old_results",), "comparison with an earlier run"),
-    (("deliverables",), "final deliverables"),
-    (("alignment",), "alignment for meta-analysis"),
-]
-DATA_EXTENSIONS = (".csv", ".xlsx", ".delta", ".parquet", ".json")
-
 
-def is_local_path(c) -> Column:
-    """Relative data paths: under ``data/``, or a data file that is not an absolute system path."""
-    path = col(c)
-    extension = F.lit(False)
-    for e in DATA_EXTENSIONS:
-        extension = extension | path.endswith(e)
-    return path.startswith("data/") | (extension & ~path.startswith("/") & ~path.startswith("C:"))
 
+def path_inventory(df: DataFrame, rules: dict[str, tuple[list, str]], constants: dict[str, str] | None = None, description: str = "description",
+                   path: str = "file_path", remote: str = "s3") -> DataFrame:
+    """The rows of ``df`` with ``constants``, one label column for each entry of ``rules``, and ``data_source``.
 
-def path_inventory(df: DataFrame, outcome: str, sample_type: str = "maternal", description: str = "description_hierarchy",
-                   path: str = "file_path") -> DataFrame:
-    """Eight descriptive columns per (description, path) row."""
-    return df.select(
-        F.lit(outcome).alias("outcome"), F.lit(sample_type).alias("sample_type"),
-        label_by_rules(description, DATA_TYPES, "other").alias("data_type"),
-        label_by_rules(description, SUB_DATA_TYPES, "general").alias("sub_data_type"),
-        label_by_rules(description, PURPOSES, "general input or result").alias("purpose"),
-        F.when(F.col(path).startswith("s3://"), "s3").otherwise("local").alias("data_source"),
-        F.col(path).alias("file_path"), F.col(description).alias("description_hierarchy"))
+    ``rules`` maps a column name to its ordered rules and the label of what none of them matches; the
+    caller brings the rules of its own sites.
+    """
+    fixed = {name: F.lit(value) for name, value in (constants or {}).items()}
+    labels = {name: label_by_rules(description, own, default) for name, (own, default) in rules.items()}
+    return df.withColumns(fixed | labels | {"data_source": F.when(F.col(path).startswith(f"{remote}://"), remote).otherwise("local")})

@@ -206,3 +206,34 @@ def test_small_statistics_are_broadcast_and_large_ones_are_not(spark, monkeypatc
     monkeypatch.setattr(relate, "BROADCAST_CELLS", 0)
     salted = impute.impute(df, Long(), "mean")
     assert "__salt" in salted._jdf.queryExecution().analyzed().toString() and salted.count() == 50
+
+
+@pytest.mark.parametrize("pivots, block_rows", [(1, 4096), (32, 4096), (7, 50)])
+@pytest.mark.parametrize("farthest", [False, True])
+def test_neighbours_break_ties_by_id(spark, pivots, block_rows, farthest):
+    from cohortmill.operators.neighbours import neighbours
+
+    turn = [2 * math.pi * i / 600 for i in range(600)]
+    points = spark.createDataFrame([(i, [math.cos(a), math.sin(a)], 1) for i, a in enumerate(turn)], "vid long, vec array<double>, n long")
+    query = spark.createDataFrame([(9, [0.0, 0.0])], "qid long, vec array<double>")
+    got = neighbours(query, points, 3, farthest, pivots=pivots, block_rows=block_rows).collect()
+    assert sorted(r.vid for r in got) == [0, 1, 2]
+
+
+def test_neighbours_of_a_grid_match_brute_force(spark):
+    from cohortmill.operators.neighbours import neighbours
+
+    grid = [(10 * x + y, [float(x), float(y)]) for x in range(10) for y in range(10)]
+    points = spark.createDataFrame([(i, v, 1) for i, v in grid], "vid long, vec array<double>, n long")
+    got = neighbours(spark.createDataFrame(grid, "qid long, vec array<double>"), points, 4, exclude_self=True, pivots=5, block_rows=16).collect()
+    for i, v in grid:
+        near = sorted((round(math.dist(v, w), 9), j) for j, w in grid if j != i)[:4]
+        assert sorted(r.vid for r in got if r.qid == i) == sorted(j for _, j in near)
+
+
+def test_failed_trials_are_reported(spark):
+    from cohortmill.operators import boosting
+
+    rows = spark.createDataFrame([(i, "a", i % 2, None, "split_1") for i in range(10)], "sample_id long, site string, y int, f double, dataset_assignment string")
+    with pytest.raises(RuntimeError, match="no trial succeeded"):
+        boosting.tune_random_search(rows, ["f"], [], "y", "sample_id", n_trials=1, n_splits=3, samplers=("random",))

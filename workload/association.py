@@ -78,9 +78,9 @@ def _(t):
 @query("discovery_scan")
 def _(t):
     labelled = cohort.analyses(grouped(t), "sb")
-    rows = joins.with_cohort(labelled.select("sample_id", "analysis", F.col("sb_new").alias("sb"), "pw_age", "ga_weeks"),
+    rows = joins.with_cohort(labelled.select("sample_id", "analysis", F.col("sb_new").alias("sb"), "pw_age", "ga_weeks", "site"),
                              aligned(t).select("sample_id", "unique_feature_label", "intensity_fill_log_scaled"))
-    return assoc.discovery_scan(rows, t["annotation"], "sb", categorical=())
+    return assoc.discovery_scan(rows, t["annotation"], "sb")
 
 
 @query("volcano_points", """

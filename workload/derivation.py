@@ -2,10 +2,10 @@
 
 import hashlib
 import os
-import tempfile
 
 from pyspark.sql import functions as F
 
+from cohortmill.functions.relate import shared_folder
 from cohortmill.operators import derive as d
 from cohortmill.sources import inventory, tables
 
@@ -13,12 +13,8 @@ from .registry import query
 
 
 def scratch(t, name: str) -> str:
-    """A folder for written tables: beside the session's checkpoints, else a temporary one when local."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not t.spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.gettempdir()
+    """A folder for written tables: beside the session's checkpoints, else in its warehouse."""
+    base = shared_folder(t.spark)
     tag = hashlib.md5(t.folder.encode()).hexdigest()[:8]
     return f"{base}/written-{t.spark.sparkContext.applicationId}-{os.getpid()}/{tag}-{name}"
 
@@ -85,10 +81,9 @@ URL_RULES = [((".com/",), "commercial"), ((".org/", ".net/"), "network"), (("exa
 def _(t):
     heads = F.array(*[F.lit(h) for h in ("Sites.Intensities.", "paths.METADATA.", "deliverables.", "alignment.", "x.")])
     described = t["pages"].withColumn("text", F.concat(heads[(F.col("page_id") % 5).cast("int")], "url"))
-    return described.select(
-        "page_id", inventory.label_by_rules("url", URL_RULES, "other").alias("kind"),
-        inventory.label_by_rules("text", inventory.DATA_TYPES, "other").alias("data_type"),
-        F.when(F.col("url").startswith("s3://"), "s3").otherwise("local").alias("data_source"))
+    kinds = inventory.path_inventory(described, {"kind": (URL_RULES, "other")}, description="url", path="url")
+    return inventory.path_inventory(kinds, {"data_type": (inventory.DATA_TYPES, "other")}, description="text", path="url").select(
+        "page_id", "kind", "data_type", "data_source")
 
 
 @query("normalize_column_names", """

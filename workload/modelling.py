@@ -1,7 +1,9 @@
 """Exploration, metrics, sampling, boosted trees and the jobs."""
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cohortmill.operators import boosting, cohort, explore, sampling, scoring, shapes
 from cohortmill.plans import jobs
@@ -162,7 +164,7 @@ def _(t):
 
 
 PARAMS = boosting.TreeParams(max_depth=3, n_estimators=8, min_child_weight=5, sampling_ratio=0.5)
-FEATURES = list(WIDE.columns[:16])
+FEATURES = list(WIDE.columns)
 
 
 def narrow(t):
@@ -183,7 +185,7 @@ def _(t):
 
 @query("tune_random_search")
 def _(t):
-    return boosting.tune_random_search(narrow(t), FEATURES[:6], [], "outcome", "vec_id", n_trials=2, n_splits=3, samplers=("random",))[1]
+    return boosting.tune_random_search(narrow(t), FEATURES, [], "outcome", "vec_id", n_trials=1, n_splits=3, samplers=("random",))[1]
 
 
 @query("final_model")
@@ -207,7 +209,7 @@ def _(t):
 @query("add_covariates")
 def _(t):
     rows = narrow(t).withColumn("maternal_age", F.col("site") * 1.5 + 18)
-    model = boosting.train(rows, FEATURES[:6], boosting.covariates_for("biosample", rows), "outcome", "vec_id", PARAMS)
+    model = boosting.train(rows, FEATURES, boosting.covariates_for("biosample", rows), "outcome", "vec_id", PARAMS)
     return model.prepare(rows, ["vec_id"]).select("vec_id", vector_to_array("features").alias("features"))
 
 
@@ -267,7 +269,7 @@ def _(t):
 
 @query("job_full")
 def _(t):
-    out = jobs.full(dense_inputs(t), "ptb", mode="user_specified", user_list=["F_quantity", "F_price", "F_tax"], **SMALL)
+    out = jobs.full(dense_inputs(t), "ptb", mode="user_specified", user_list=["F_quantity", "F_price", "F_discount", "F_tax"], **SMALL)
     return jobs.run_summary(t.spark, out)
 
 
@@ -280,4 +282,5 @@ def _(t):
 def _(t):
     rows = narrow(t).withColumn("subject_id", F.col("vec_id"))
     reports = jobs.explore_dataset(rows, FEATURES, "outcome", "vec_id")
-    return reports["characteristics"]
+    parts = [df.select(F.lit(name).alias("report"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("row")) for name, df in reports.items()]
+    return reduce(DataFrame.unionAll, parts)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cohortmill.operators import multitest, select, stats
+from cohortmill.operators import explore, multitest, select, stats
 from cohortmill.operators.derive import population_flags
 from cohortmill.operators.impute import subject_fill
 from cohortmill.operators.layout import Long
@@ -241,7 +241,9 @@ def _(t):
 
 @query("top_variance_subset", f"SELECT feature_id, std AS score FROM ({RATES}) ORDER BY variance DESC, feature_id LIMIT 20", "score")
 def _(t):
-    return select.top_features(select.feature_stats(t["long_missing"], LONG), 20, "std").select("feature_id", "score")
+    wide, names = explore.top_variance_subset(t["long_missing"], select.feature_stats(t["long_missing"], LONG), 20)
+    return wide.agg(*[F.stddev(n).alias(n) for n in names]).select(F.explode(F.array(*[
+        F.struct(F.lit(int(n[1:])).alias("feature_id"), F.col(n).alias("score")) for n in names])).alias("s")).select("s.*")
 
 
 @query("top_n_significant", """
