@@ -22,7 +22,7 @@ BINS = BANDS * ROWS
 # Members of a star that are compared in one task.
 STAR = 500
 # Stars before the rest is settled in clusters, and documents of a cluster that a task holds.
-STARS = 3
+STARS = 2
 BLOCK = 300
 
 
