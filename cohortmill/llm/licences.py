@@ -121,9 +121,15 @@ class LicenceModel:
 
 
 def fit(docs: DataFrame, other_rows: int = 2_000) -> LicenceModel:
-    """Learns the class of everything else from one paragraph each of at most ``other_rows`` documents, chosen by a hash of the id."""
+    """Learns the class of everything else from one paragraph each of at most ``other_rows`` documents, chosen by a hash of the id.
+
+    Only hashes low enough to hold about four times as many documents are sent to be sorted, so that tasks together send
+    a bounded number of rows.  Repeated ids share a hash; with many of them fewer than ``other_rows`` may be learned from.
+    """
+    share = min(1.0, 4 * other_rows / max(1, docs.where("length(trim(text)) > 0").count()))
     lines = F.filter(F.split("text", "\n"), lambda s: F.length(F.trim(s)) > 0)
-    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("length(trim(text)) > 0").withColumn("h", F.xxhash64(F.coalesce("doc_id", F.lit(SMALLEST)))).select(
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("length(trim(text)) > 0").withColumn("h", F.xxhash64(F.coalesce("doc_id", F.lit(SMALLEST)))).where(
+        F.col("h") <= int(SMALLEST + share * (2**64 - 1)) if share < 1 else F.lit(True)).select(
         "h", F.get(lines, F.pmod("h", F.greatest(F.size(lines), F.lit(1))).cast("int")).alias("line")).dropna()
     rows = chosen.orderBy("h", "line").limit(other_rows).toPandas()
     return LicenceModel().fit([" ".join(x.split()[:LONGEST]).encode() for x in rows["line"]])
