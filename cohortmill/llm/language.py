@@ -1,14 +1,16 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .textcodes import stretches
+
 BUCKETS = 1 << 14
 ORDERS = (2, 3)
 # Characters worked on at once; a longer text is scored in pieces whose counts are added.
-PIECE = 1 << 20
+PIECE = 1 << 18
 LETTER = regex.compile(r"\p{L}")
 _held: list[np.ndarray] = []
 
@@ -50,33 +52,37 @@ def _grams(texts: list[str]):
         yield (h >> np.uint64(50)).astype(np.int64)[whole], owner[:size][whole]
 
 
-def _pieces(texts):
-    """Lists of (number of the text, piece) of about PIECE characters; texts without letters are left out."""
+def _pieces(column):
+    """Lists of (number of the text, piece) of about PIECE characters of an Arrow column; texts without letters are left out."""
     group, size = [], 0
-    for i, t in enumerate(texts):
-        if t is None or not LETTER.search(t):
-            continue
-        for at in range(0, len(t), PIECE):
-            group.append((i, t[at:at + PIECE]))
-            size += len(group[-1][1])
-            if size >= PIECE:
-                yield group
-                group, size = [], 0
+    for a, b in stretches(column, PIECE):
+        for i, t in enumerate(column.slice(a, b - a).to_pylist(), a):
+            if t is None or not LETTER.search(t):
+                continue
+            for at in range(0, len(t), PIECE):
+                group.append((i, t[at:at + PIECE]))
+                size += len(group[-1][1])
+                if size >= PIECE:
+                    yield group
+                    group, size = [], 0
     if group:
         yield group
 
 
 def _count(batches):
     for batch in batches:
-        langs = sorted(set(batch["lang"]))
-        place = batch["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
+        of_row = batch.column(0).to_pylist()
+        langs = sorted(set(of_row))
+        number = {x: i for i, x in enumerate(langs)}
+        place = np.array([number[x] for x in of_row], np.int64)
         total = np.zeros(len(langs) * BUCKETS, np.int64)
-        for group in _pieces(batch["text"]):
+        for group in _pieces(batch.column(1)):
             of = place[[i for i, _ in group]]
             for bucket, owner in _grams([t for _, t in group]):
                 total += np.bincount(of[owner] * BUCKETS + bucket, minlength=len(total))
         there = np.flatnonzero(total)
-        yield pd.DataFrame({"lang": np.array(langs, object)[there // BUCKETS] if langs else [], "bucket": there % BUCKETS, "n": total[there]})
+        names = pa.array(langs, pa.string()).take(pa.array(there // BUCKETS))
+        yield pa.RecordBatch.from_arrays([names, pa.array(there % BUCKETS, pa.int32()), pa.array(total[there], pa.int64())], names=["lang", "bucket", "n"])
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -90,9 +96,9 @@ class LanguageModel:
     def __init__(self, langs: list[str], table: np.ndarray, prior: np.ndarray):
         self.langs, self.table, self.prior = langs, table, prior
 
-    def score(self, texts) -> pd.DataFrame:
+    def score(self, texts: pa.Array) -> pa.StructArray:
         if not self.langs:
-            return pd.DataFrame({"lang_pred": ["und"] * len(texts), "score": np.zeros(len(texts))})
+            return self._scored(np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts), bool))
         total, seen = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), bool)
         for group in _pieces(texts):
             of = np.array([i for i, _ in group])
@@ -105,15 +111,19 @@ class LanguageModel:
         total -= total.max(axis=1, keepdims=True)
         best = total.argmax(axis=1)
         score = 1 / np.exp(total).sum(axis=1)
-        return pd.DataFrame({"lang_pred": np.where(seen, np.array(self.langs, object)[best], "und"), "score": np.where(seen, score, 0.0)})
+        return self._scored(best, score, seen)
+
+    def _scored(self, best, score, seen) -> pa.StructArray:
+        names = pa.array([*self.langs, "und"], pa.string()).take(pa.array(np.where(seen, best, len(self.langs))))
+        return pa.StructArray.from_arrays([names, pa.array(np.where(seen, score, 0.0))], names=["lang_pred", "score"])
 
     def predict(self, text: Column, spark) -> Column:
         """Struct of lang_pred and score.  The model is as large as languages x buckets, whatever the corpus."""
         model = spark.sparkContext.broadcast(self)
 
-        @F.pandas_udf("lang_pred string, score double")
-        def predicted(texts: pd.Series) -> pd.DataFrame:
-            return model.value.score(list(texts))
+        @F.arrow_udf("lang_pred string, score double")
+        def predicted(texts: pa.Array) -> pa.Array:
+            return model.value.score(texts)
 
         return predicted(text)
 
@@ -126,7 +136,7 @@ def fit(docs: DataFrame, learn: Column | None = None) -> LanguageModel:
     logarithmic scale, so that they matter only for very short texts.
     """
     rows = docs.where(~held_out() if learn is None else learn).where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    counted = rows.mapInPandas(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(counted["lang"]))
     table = np.zeros((len(langs), BUCKETS))
     table[counted["lang"].map({x: i for i, x in enumerate(langs)}).astype(int), counted["bucket"]] = counted["n"]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import SMALLEST, Scratch, components, lookup
-from .textcodes import BASE2, as_bytes, groups_of_texts, mix, spans, word_codes
+from .textcodes import BASE2, as_bytes, mix, spans, stretches, word_codes
 
 BANDS, ROWS = 36, 6
 BINS = BANDS * ROWS
@@ -76,23 +76,29 @@ def bands(sign: np.ndarray) -> np.ndarray:
 def _sign(width: int):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), as_bytes(batch.column(1))
-            for a, b in groups_of_texts(texts):
-                sets = shingle_sets(texts[a:b], width)
+            for a, b in stretches(batch.column(1)):
+                sets = shingle_sets(as_bytes(batch.column(1).slice(a, b - a)), width)
                 marks = bands(signatures(sets))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, marks.size + 1, BANDS), pa.int32()), pa.array(marks.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists], names=["id", "n", "digest", "bands"])
+                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists], names=["id", "n", "digest", "bands"])
     return run
 
 
+def _parts(batches):
+    """Batches with sets in the last column, cut so that few of them are Python objects at once."""
+    for batch in batches:
+        for a, b in stretches(batch.column(4)):
+            yield batch.slice(a, b - a)
+
+
 def _compare(percent: int):
     """Rows sorted by (centre, salt, role): the set of a centre, then those of its members."""
 
     def run(batches):
         now, own = None, None
-        for batch in batches:
+        for batch in _parts(batches):
             centre, ids, linked = [], [], []
             for c, salt, member, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
                 data = np.frombuffer(data, np.uint64)
@@ -129,15 +135,15 @@ def _gather(docs: DataFrame, routes: DataFrame, width: int) -> DataFrame:
 
     def send(batches):
         for batch in batches:
-            texts, routes = as_bytes(batch.column(0)), batch.column(1).to_pylist()
-            for a, b in groups_of_texts(texts):
+            for a, b in stretches(batch.column(0)):
+                texts, routes = as_bytes(batch.column(0).slice(a, b - a)), batch.column(1).slice(a, b - a).to_pylist()
                 out, size = [], 0
-                for own, to in zip(shingle_sets(texts[a:b], width), routes[a:b]):
+                for own, to in zip(shingle_sets(texts, width), routes):
                     data = own.tobytes()
                     for r in to:
                         out.append((r["a"], r["salt"], r["role"], r["member"], data))
                         size += len(data) + 40
-                        if size > 1 << 24:
+                        if size > 1 << 22:
                             yield packed(out)
                             out, size = [], 0
                 if out:
@@ -160,7 +166,7 @@ def _settle(percent: int):
 
     def run(batches):
         now, held, index = None, [], None
-        for batch in batches:
+        for batch in _parts(batches):
             links = []
             for cluster, block, role, component, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if (cluster, block) != now:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import SMALLEST, Scratch
-from .textcodes import PIECE, as_bytes, cuts, edges, groups_of_texts, hash_spans
+from .textcodes import STRETCH, as_bytes, cuts, edges, hash_spans, stretches
 
 END_ID = 1
 CACHED_WORDS = 3_000_000
@@ -108,16 +108,15 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int = 4096, with_ids: bool =
     def run(batches):
         encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, WordIds(tokenizer))
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
-            for a, b in groups_of_texts(texts):
-                rows = []
-                if b == a + 1 and len(texts[a]) > PIECE:
-                    whole = np.concatenate([encoder([part])[0] for part in cuts(texts[a])])
+            for a, b in stretches(batch.column(1)):
+                docs, texts, rows = batch.column(0).slice(a, b - a).to_pylist(), as_bytes(batch.column(1).slice(a, b - a)), []
+                if len(texts) == 1 and len(texts[0]) > STRETCH:
+                    whole = np.concatenate([encoder([part])[0] for part in cuts(texts[0], STRETCH)])
                     ids, ends = whole, [len(whole)]
                 else:
-                    ids, ends = encoder(texts[a:b])
+                    ids, ends = encoder(texts)
                 at = 0
-                for doc, stop in zip(docs[a:b], ends):
+                for doc, stop in zip(docs, ends):
                     own = np.append(ids[at:stop], END_ID).astype("<u4")
                     at = stop
                     for k, s in enumerate(range(0, len(own), limit)):

@@ -2,8 +2,10 @@
 
 import numpy as np
 
-# Texts are worked on in pieces of about this many bytes; a longer text is cut at white space.
-PIECE = 1 << 21
+# Words are coded in pieces of about this many bytes; a longer text is cut at white space.
+PIECE = 1 << 18
+# Bytes of texts that are taken from an Arrow batch at once.
+STRETCH = 1 << 21
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -17,7 +19,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base ** i`` and ``base ** -i`` modulo 2**64, for i below ``n`` at least."""
     held = _powers.get(base)
     if held is None or len(held[0]) < n:
-        size = max(PIECE + 1024, n)
+        size = 1 << max(PIECE + 1024, n).bit_length()
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, np.uint64)
@@ -68,16 +70,16 @@ def _piece_codes(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(raw, starts, ends), starts
 
 
-def cuts(text: bytes):
-    """Pieces of a long text, cut after white space."""
-    at = 0
-    while len(text) - at > PIECE:
-        window = np.frombuffer(text, np.uint8, count=PIECE, offset=at)
+def cuts(text: bytes, size: int | None = None):
+    """Pieces of a long text, of ``size`` bytes (a PIECE), cut after white space."""
+    at, size = 0, size or PIECE
+    while len(text) - at > size:
+        window = np.frombuffer(text, np.uint8, count=size, offset=at)
         gaps = np.flatnonzero(SPACE[window])
         if len(gaps):
             end = at + int(gaps[-1]) + 1
         else:  # a word longer than a piece
-            end = at + PIECE
+            end = at + size
             while end < len(text) and not SPACE[text[end]]:
                 end += 1
         yield text[at:end]
@@ -115,7 +117,7 @@ def word_codes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.
     return (np.concatenate(out) if out else np.empty(0, np.uint64)), np.concatenate(bounds).astype(np.int64)
 
 
-def groups_of_texts(texts: list, limit: int = PIECE):
+def groups_of_texts(texts: list, limit: int = STRETCH):
     """Ranges (from, to) of ``texts`` with about ``limit`` bytes each."""
     at = size = 0
     for i, t in enumerate(texts):
@@ -127,6 +129,19 @@ def groups_of_texts(texts: list, limit: int = PIECE):
         yield at, len(texts)
 
 
+def stretches(column, limit: int = STRETCH):
+    """Ranges (from, to) of an Arrow column of texts or bytes with about ``limit`` bytes each."""
+    import pyarrow.compute as pc
+
+    upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(upto):
+        before = int(upto[at - 1]) if at else 0
+        end = min(int(np.searchsorted(upto, before + limit)) + 1, len(upto))
+        yield at, end
+        at = end
+
+
 def as_bytes(column) -> list[bytes]:
     """An Arrow text column as UTF-8 bytes; null is empty."""
     import pyarrow as pa
