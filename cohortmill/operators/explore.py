@@ -28,7 +28,7 @@ def fit_pca(wide: DataFrame, layout: Wide, n_components: int = 10, site: str | N
     rows = cut_lineage(rows)
     vectors = rows.withColumn("__v", as_vector(columns))
     if site:
-        vectors = apply_shift(vectors, "__v", fit_shift(rows, columns, site), site)
+        vectors = apply_shift(vectors, "__v", fit_shift(rows, columns, site), len(columns), site)
     means, sds = fit_vector_scale(vectors, "__v", len(columns))
     vectors = vectors.withColumn("__features", array_to_vector(apply_vector_scale("__v", means, sds)))
     vectors = cut_lineage(vectors.drop(*columns, "__v"))

@@ -86,7 +86,8 @@ def quantile_normalize(df: DataFrame, layout: Long, sample: str = "sample_id", l
     known = df.withColumn(layout.value, number(layout.value)).where(F.col(layout.value).isNotNull())
     ranked = spread_row_number(known, [sample], layout.feature, order=layout.value, name="__rank")
     targets = ranked.groupBy("__rank").agg(F.avg(layout.value).alias("__target"))
-    return ranked.join(targets, "__rank").withColumn(layout.value, F.col("__target")).select(*df.columns)
+    # A rank holds a row of every sample: such keys are looked up by measured size, not dealt by a shuffle.
+    return attach_checked(ranked, targets, ["__rank"], "inner").withColumn(layout.value, F.col("__target")).select(*df.columns)
 
 
 def normalize(df: DataFrame, layout, method: str = "log_median_centering", by=(), reference=None, sample: str = "sample_id",
@@ -160,9 +161,9 @@ def fit_shift(train: DataFrame, columns, site: str = "site") -> DataFrame:
     return moves.select(site, F.transform(names, lambda n: F.coalesce(F.col("__m")[n], F.lit(0.0))).alias("shift"))
 
 
-def apply_shift(df: DataFrame, vector: str, shifts: DataFrame, site: str = "site") -> DataFrame:
-    """Add the site's shift to the vector; an unseen site stays as it is."""
-    held = attach_checked(df, shifts, [site], cells_per_row=1_000)
+def apply_shift(df: DataFrame, vector: str, shifts: DataFrame, size: int, site: str = "site") -> DataFrame:
+    """Add the site's shift, of ``size`` numbers, to the vector; an unseen site stays as it is."""
+    held = attach_checked(df, shifts, [site], cells_per_row=size + 1)
     moved = F.zip_with(vector, F.coalesce("shift", F.array().cast("array<double>")), lambda x, s: x + F.coalesce(s, F.lit(0.0)))
     return held.withColumn(vector, moved).drop("shift")
 
