@@ -79,3 +79,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def free(df: DataFrame) -> None:
+    """Delete the files of a frame from ``cut_lineage`` that no plan reads any more."""
+    plan = df._jdf.queryExecution().analyzed()
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -153,7 +153,10 @@ def choose_features(results: DataFrame, mode: str = "auto", n: int = 100, user_l
 
 def full(inputs: DiscoveryInputs, outcome: str, run: str = "full", mode: str = "auto", n: int = 100, user_list=None, results: DataFrame | None = None,
          value: str = "intensity_fill_log_scaled", **predict_options) -> dict:
-    """``full``, ``discovery`` or ``ml``; the last takes ``results`` of an earlier discovery."""
+    """``full``, ``discovery`` or ``ml``; the last takes ``results`` of an earlier discovery.
+
+    Where selection finds no feature there is nothing to model: ``selected`` is empty and ``model`` absent.
+    """
     out: dict = {"outcome": outcome, "mode": mode}
     if run in ("full", "discovery"):
         out["discovery"] = discover(inputs, outcome, value=value)
@@ -163,6 +166,8 @@ def full(inputs: DiscoveryInputs, outcome: str, run: str = "full", mode: str = "
             raise ValueError("results of a discovery are needed")
         chosen = [r[0] for r in choose_features(results, mode, n, user_list).collect()]
         out["selected"] = chosen
+        if not chosen:
+            return out
         curated = curate(prepare_metadata(inputs.metadata, inputs.manifest), outcome)
         intensity = joins.with_alignment(inputs.intensity, inputs.alignment) \
             .select("sample_id", F.col("unique_feature_label").alias("feature_id"), F.col(value).alias("value"))

@@ -1,6 +1,7 @@
 """Hand-made frames for the traps: missing values, constants, ties, hot keys, empty groups."""
 
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -237,3 +238,48 @@ def test_failed_trials_are_reported(spark):
     rows = spark.createDataFrame([(i, "a", i % 2, None, "split_1") for i in range(10)], "sample_id long, site string, y int, f double, dataset_assignment string")
     with pytest.raises(RuntimeError, match="no trial succeeded"):
         boosting.tune_random_search(rows, ["f"], [], "y", "sample_id", n_trials=1, n_splits=3, samplers=("random",))
+
+
+def test_trials_over_all_samplers_share_prepared_folds(spark, monkeypatch):
+    from cohortmill.operators import boosting
+
+    rng = np.random.default_rng(4)
+    data = [(i, "a", int(i % 4 == 0), float(x + (i % 4 == 0)), float(z), ("fold_0", "fold_1", "lockbox")[i // 4 % 3]) for i, (x, z) in enumerate(rng.normal(size=(120, 2)))]
+    rows = spark.createDataFrame(data, "sample_id long, site string, y int, f double, g double, dataset_assignment string").coalesce(1).cache()
+    drawn = [boosting.TreeParams(sampler=s, n_estimators=n, max_depth=2) for s, n in (("random", 2), ("near_miss", 2), ("near_miss", 3), ("tomek", 2), ("tomek", 3))]
+    left, calls, make = iter(drawn), [], boosting.prepare_training
+    monkeypatch.setattr(boosting, "draw_params", lambda *_: next(left))
+    monkeypatch.setattr(boosting, "prepare_training", lambda df, f, c, y, k, p, *a: (calls.append(p.sampler), make(df, f, c, y, k, p, *a))[1])
+    _, table = boosting.tune_random_search(rows, ["f", "g"], [], "y", "sample_id", n_trials=5, n_splits=3)
+    table = table.cache()
+    assert table.where("error IS NOT NULL").count() == 0
+    assert sorted(calls) == ["near_miss"] * 2 + ["random"] * 2 + ["tomek"] * 2
+    got = {r["trial"]: r["mean"] for r in table.where("metric = 'AUROC_val'").collect()}
+    assert set(got) == set(range(5))
+    for number in (2,):
+        areas = [boosting.evaluate(boosting.train(rows.where(f"dataset_assignment = '{a}'"), ["f", "g"], [], "y", "sample_id", drawn[number]),
+                                   rows.where(f"dataset_assignment = '{b}'"), "y", "_val").first()["AUROC_val"] for a, b in (("fold_1", "fold_0"), ("fold_0", "fold_1"))]
+        assert got[number] == pytest.approx(sum(areas) / 2)
+
+
+def test_registered_searches_are_whole(monkeypatch):
+    import inspect
+
+    import __spark_entry__ as entry
+    from cohortmill.operators import boosting
+    from cohortmill.plans import jobs
+    from workload import modelling
+
+    t, asked, whole, full = SimpleNamespace(spark=None), [], inspect.signature(boosting.tune_random_search), inspect.signature(jobs.full)
+    monkeypatch.setattr(modelling, "narrow", lambda t: None)
+    monkeypatch.setattr(modelling, "dense_inputs", lambda t: None)
+    monkeypatch.setattr(boosting, "tune_random_search", lambda *a, **b: asked.append(whole.bind(*a, **b)) or (None, None))
+    monkeypatch.setattr(jobs, "full", lambda *a, **b: asked.append(full.bind(*a, **b)))
+    monkeypatch.setattr(jobs, "run_summary", lambda *_: None)
+    entry.REGISTRY["tune_random_search"].run(t)
+    entry.REGISTRY["job_full"].run(t)
+    for call in asked:
+        call.apply_defaults()
+    search, job = (call.arguments for call in asked)
+    assert (search["n_trials"], search["n_splits"], search["samplers"]) == (150, 6, ("random", "near_miss", "tomek"))
+    assert job["mode"] == "auto" and not job["user_list"] and not job.get("predict_options")

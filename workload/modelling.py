@@ -185,7 +185,7 @@ def _(t):
 
 @query("tune_random_search")
 def _(t):
-    return boosting.tune_random_search(narrow(t), FEATURES, [], "outcome", "vec_id", n_trials=1, n_splits=3, samplers=("random",))[1]
+    return boosting.tune_random_search(narrow(t), FEATURES, [], "outcome", "vec_id")[1]
 
 
 @query("final_model")
@@ -255,22 +255,18 @@ def dense_inputs(t):
     return jobs.DiscoveryInputs(t["metadata"], manifest(t), rows, alignment, annotation, t["previous"])
 
 
-SMALL = {"n_trials": 1, "n_splits": 6, "samplers": ("random",)}
-
-
 @query("job_risk_model")
 def _(t):
     inputs = discovery_inputs(t)
     curated = jobs.curate(jobs.prepare_metadata(inputs.metadata, inputs.manifest), "ptb")
     visits = curated.select("sample_id", "subject_id", "site", "ptb", "dataset_assignment", "maternal_age", "ga_sample_days", "ga_birth_days", "high_risk", "bmi")
     intensity = dense(t).select("sample_id", F.col("feature_label").alias("feature_id"), F.col("intensity_fill_log_scaled").alias("value"))
-    return jobs.predict(visits, intensity, ["quantity", "price", "discount", "tax"], "ptb", **SMALL)["lockbox_metrics"]
+    return jobs.predict(visits, intensity, ["quantity", "price", "discount", "tax"], "ptb")["lockbox_metrics"]
 
 
 @query("job_full")
 def _(t):
-    out = jobs.full(dense_inputs(t), "ptb", mode="user_specified", user_list=["F_quantity", "F_price", "F_discount", "F_tax"], **SMALL)
-    return jobs.run_summary(t.spark, out)
+    return jobs.run_summary(t.spark, jobs.full(dense_inputs(t), "ptb"))
 
 
 @query("run_summary")
