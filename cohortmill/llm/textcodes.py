@@ -1,5 +1,7 @@
 """Numpy helpers used inside tasks: words of many texts as 64-bit codes, without Python objects per word."""
 
+import hashlib
+
 import numpy as np
 
 # Words are coded in pieces of about this many bytes; a longer text is cut at white space.
@@ -11,6 +13,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
+# Stretches of more bytes are coded by a digest; a mask keeps the lowest bytes of a block.
+LONG = 64
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 BASE, BASE2 = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -54,11 +59,25 @@ def edges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One code for each stretch of bytes."""
-    up, down = powers(BASE, len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(BASE2))
+    """One code for each stretch of bytes: its blocks of eight bytes mixed in one after the other.
+
+    Every step is one-to-one in the block, so stretches of equal length up to eight bytes never share a
+    code; longer ones share one by chance only (64 bits).  Stretches beyond LONG bytes are digested.
+    """
+    size = ends - starts
+    blocks = np.ndarray((len(raw) + 1,), "<u8", np.concatenate((raw, np.zeros(8, np.uint8))), strides=(1,))
+    code = size.astype(np.uint64) * np.uint64(BASE2)
+    left = np.arange(len(size))
+    for at in range(0, LONG, 8):
+        if at:
+            left = left[size[left] > at]
+        if not len(left):
+            break
+        part = blocks[starts[left] + at] & MASKS[np.minimum(size[left] - at, 8)]
+        code[left] = mix((code[left] ^ part) * np.uint64(BASE) + np.uint64(BASE2))
+    for i in np.flatnonzero(size > LONG).tolist():
+        code[i] = int.from_bytes(hashlib.blake2b(raw[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return code
 
 
 def _piece_codes(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
