@@ -3,9 +3,10 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, language, licences, mixing, packing, pii
+from . import chat, language, licences, mixing, packing, pii, quality, runs
 from .exact_dedup import exact_dedup
 from .minhash_dedup import near_duplicates
+from .search import search
 from .substring_dedup import remove_repeats
 from .vector_dedup import near_vectors
 
@@ -61,13 +62,31 @@ def op10_packing(spark, folder):
     return packing.pack(_read(spark, folder, "documents"), TOKENIZER)
 
 
+def op11_runs(spark, folder):
+    found = runs.find_runs(runs.with_planted_runs(_read(spark, folder, "documents"))).withColumn("best", runs.longest(F.col("runs")))
+    best = [F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")]
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+def op12_search(spark, folder):
+    return search(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op13_quality(spark, folder):
+    return quality.classify(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 def pipeline(spark, folder):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_exact_dedup, op4_substring_dedup, op5_language, op6_licences, op7_vectors, op8_minhash, op9_chat, op10_packing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_exact_dedup, op4_substring_dedup, op5_language, op6_licences, op7_vectors, op8_minhash, op9_chat, op10_packing, op11_runs, op12_search, op13_quality, pipeline)}
+
+TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SQL = {
     "op3_exact_dedup": """
@@ -95,4 +114,16 @@ SQL = {
                      string_agg('<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS text
               FROM m JOIN t USING (conv_id) GROUP BY conv_id)
         SELECT conv_id, n_turns, n_copies, part, sha256(text) AS text_sha256, text FROM r""",
+    "op12_search": r"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, unnest(TERMS) AS term FROM documents),
+        c AS MATERIALIZED (SELECT k, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM d GROUP BY k, term),
+        s AS MATERIALIZED (SELECT k, CAST(sum(tf) AS BIGINT) AS n FROM c GROUP BY k),
+        t AS (SELECT count(*) AS N_, CAST(sum(n) AS BIGINT) AS L_ FROM s),
+        q AS MATERIALIZED (SELECT DISTINCT item_id, unnest(TERMS) AS term FROM benchmark),
+        f AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * N_ + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w FROM f, t),
+        r AS (SELECT item_id, doc_id, k, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * N_) // L_)))) AS BIGINT) AS score
+              FROM q JOIN c USING (term) JOIN s USING (k) JOIN w USING (term), t GROUP BY ALL),
+        p AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0)
+        SELECT * FROM p WHERE rank <= 50""".replace("TERMS", TERMS),
 }

@@ -52,9 +52,9 @@ def spans(codes: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
     return mix((total[width:] - total[:n]) * down[:n])
 
 
-def edges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words start and end in bytes that end in white space."""
-    edge = np.flatnonzero(np.diff(SPACE[raw], prepend=True))
+def edges(raw: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end in bytes that end in white space; ``gap`` marks the bytes between words."""
+    edge = np.flatnonzero(np.diff(gap[raw], prepend=True))
     return edge[::2], edge[1::2]
 
 
@@ -80,12 +80,12 @@ def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return code
 
 
-def _piece_codes(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _piece_codes(data: bytes, lower: bool, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes and start offsets of the words of ``data``, which ends in white space."""
     raw = np.frombuffer(data, np.uint8)
     if lower:
         raw = LOWER[raw]
-    starts, ends = edges(raw)
+    starts, ends = edges(raw, gap)
     return hash_spans(raw, starts, ends), starts
 
 
@@ -106,14 +106,16 @@ def cuts(text: bytes, size: int | None = None):
     yield text[at:]
 
 
-def word_codes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all words ``[^\\x20\\x09-\\x0D]+`` and, per text, where its words begin (one more at the end)."""
+def word_codes(texts: list[bytes], lower: bool = False, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words ``[^\\x20\\x09-\\x0D]+`` and, per text, where its words begin (one more at the end).
+
+    Another ``gap`` (bytes between words) must hold white space."""
     out, bounds, done, group, size = [], [np.zeros(1, np.int64)], 0, [], 0
 
     def flush():
         nonlocal done, group, size
         if group:
-            codes, starts = _piece_codes(b"\n".join(group) + b"\n", lower)
+            codes, starts = _piece_codes(b"\n".join(group) + b"\n", lower, gap)
             ends = np.cumsum([len(t) + 1 for t in group])
             bounds.append(done + np.searchsorted(starts, ends))
             out.append(codes)
@@ -124,7 +126,7 @@ def word_codes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.
         if len(t) > PIECE:
             flush()
             for piece in cuts(t):
-                out.append(_piece_codes(piece + b"\n", lower)[0])
+                out.append(_piece_codes(piece + b"\n", lower, gap)[0])
                 done += len(out[-1])
             bounds.append(np.array([done]))
         else:
