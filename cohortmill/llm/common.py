@@ -12,6 +12,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name beginning with ``stem`` that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (f"__{stem}{k or ''}" for k in count()) if n.lower() not in taken)
+
+
+def plain_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, also those with dots or other signs in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 class Scratch:
     """Tables written once and read again, in the shared folder the cluster names.
 

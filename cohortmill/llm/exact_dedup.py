@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SMALLEST, Scratch, lookup, text_or_empty
+from .common import SMALLEST, Scratch, free_name, lookup, plain_columns, text_or_empty
 
 
 def exact_dedup(docs: DataFrame, scratch: Scratch | None = None, salts: int = 16, digest=None) -> DataFrame:
@@ -39,8 +39,9 @@ def exact_dedup(docs: DataFrame, scratch: Scratch | None = None, salts: int = 16
 
 
 def without_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` with one row of each text, all columns unchanged."""
-    kept = exact_dedup(docs, scratch).where("kept").select(F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__kept_text")).distinct()
-    marked = docs.withColumn("__text", F.sha2(text_or_empty(), 256))
-    stay = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__text") == F.col("__kept_text")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    """``docs`` with one row of each text, all columns unchanged, whatever their names."""
+    text, id_, digest = (free_name(docs, stem) for stem in ("text", "kept", "kept_text"))
+    kept = exact_dedup(docs, scratch).where("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(digest)).distinct()
+    marked = docs.withColumn(text, F.sha2(text_or_empty(), 256))
+    stay = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(text) == F.col(digest)), "left_semi")
+    return stay.dropDuplicates(["doc_id", text]).select(*plain_columns(docs))

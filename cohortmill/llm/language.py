@@ -5,6 +5,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import free_name, plain_columns
 from .textcodes import stretches
 
 BUCKETS = 1 << 14
@@ -157,6 +158,6 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
-    """``docs`` without those whose language cannot be told (``und``); columns unchanged."""
-    model = model or fit(docs)
-    return docs.withColumn("__p", model.predict(F.col("text"), docs.sparkSession)).where("__p.lang_pred <> 'und'").select(*docs.columns)
+    """``docs`` without those whose language cannot be told (``und``); columns unchanged, whatever their names."""
+    model, told = model or fit(docs), free_name(docs, "told")
+    return docs.withColumn(told, model.predict(F.col("text"), docs.sparkSession)).where(F.col(told)["lang_pred"] != "und").select(*plain_columns(docs))

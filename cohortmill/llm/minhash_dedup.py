@@ -1,11 +1,12 @@
 """Near-duplicates by one-permutation MinHash with optimal densification.
 
-Documents with equal shingle sets form a class and only its first takes part.  A class falls into one bucket
-per band of its signature.  In every bucket the smallest id is the centre of a star: the others are
-compared with it only.  Buckets whose members are then still in several components get further
-stars.  What still is apart is settled in clusters of such buckets: the documents outside a
-cluster's largest component are held in blocks, and all of the cluster pass by each block, so that no link found by
-a bucket is lost to the components and no list of pairs is made.  Every comparison is of full sets.
+Documents with equal shingle sets form a class with a number of its own; one text stands for it, and doc_ids come
+back only at the end.  A class falls into one bucket per band of its signature; of buckets with the
+same members one is kept.  In every bucket the smallest number is the centre of a star: the others are
+compared with it only.  Buckets whose members are then still in several components, and only those, get further
+stars.  What still is apart is settled in clusters of such buckets: the classes outside a
+cluster's largest component are held in blocks, and all of the cluster pass by each block in slices, so that no link
+found by a bucket is lost to the components and no list of pairs is made.  Every comparison is of full sets.
 """
 
 import hashlib
@@ -14,16 +15,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SMALLEST, Scratch, components, lookup
+from .common import Scratch, components, free_name, lookup
 from .textcodes import BASE2, as_bytes, mix, spans, stretches, word_codes
 
 BANDS, ROWS = 36, 6
 BINS = BANDS * ROWS
 # Members of a star that are compared in one task.
 STAR = 500
-# Stars before the rest is settled in clusters, and documents of a cluster that a task holds.
+# Stars before the rest is settled in clusters, and classes of a cluster that a task holds and that pass by them.
 STARS = 2
-BLOCK = 300
+BLOCK, SLICE = 300, 1000
+# Open buckets that are broadcast at most (16 bytes each).
+OPEN = 1 << 20
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -82,7 +85,8 @@ def _sign(width: int):
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, marks.size + 1, BANDS), pa.int32()), pa.array(marks.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists], names=["id", "n", "digest", "bands"])
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists],
+                    names=["id", "key", "n", "digest", "bands"])
     return run
 
 
@@ -115,7 +119,7 @@ def _compare(percent: int):
     return run
 
 
-def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: whether the full shingle sets are similar enough.
 
     Sets travel to their centre ``a``; a centre with many members is copied once per STAR members.
@@ -127,11 +131,11 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int, scratch:
         F.col("b").alias("id"), F.struct("a", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("member")).alias("to"))
     centres = stars.select("a", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")).select(
         F.col("a").alias("id"), F.struct("a", "salt", F.lit(0).alias("role"), F.lit(None).cast("long").alias("member")).alias("to"))
-    return _gather(docs, members.unionAll(centres), width).mapInArrow(_compare(percent), "a long, b long, linked boolean").distinct()
+    return _gather(texts, members.unionAll(centres), width).mapInArrow(_compare(percent), "a long, b long, linked boolean").distinct()
 
 
-def _gather(docs: DataFrame, routes: DataFrame, width: int) -> DataFrame:
-    """The sets of documents, sent along ``routes`` (id, to: a, salt, role, member), sorted where they arrive."""
+def _gather(texts: DataFrame, routes: DataFrame, width: int) -> DataFrame:
+    """The sets of classes, sent along ``routes`` (id, to: a, salt, role, member), sorted where they arrive."""
 
     def send(batches):
         for batch in batches:
@@ -154,7 +158,7 @@ def _gather(docs: DataFrame, routes: DataFrame, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["a", "salt", "role", "member", "data"])
 
     lists = routes.groupBy("id").agg(F.collect_list("to").alias("to"))
-    placed = docs.join(lists.hint("shuffle_hash"), "id").select("text", "to").mapInArrow(send, "a long, salt int, role int, member long, data binary")
+    placed = texts.join(lists.hint("shuffle_hash"), "id").select("text", "to").mapInArrow(send, "a long, salt int, role int, member long, data binary")
     return placed.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
 
 
@@ -202,7 +206,7 @@ def _root(root: dict, x: int) -> int:
     return x
 
 
-def settle(open_: DataFrame, docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+def settle(open_: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between components that share buckets in ``open_`` (bucket, rep, component)."""
     centre = scratch.keep(open_.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("w")))
     total = centre.agg(F.sum("w")).head()[0] or 0
@@ -211,66 +215,89 @@ def settle(open_: DataFrame, docs: DataFrame, width: int, percent: int, scratch:
     parts = members.groupBy("cluster", "own").agg(F.count("*").alias("k"))
     main = scratch.keep(parts.groupBy("cluster").agg(F.max_by("own", F.struct("k", "own")).alias("main"), F.sum("k").alias("w"), F.max("k").alias("most")))
     placed = lookup(members, main, ["cluster"], "w", members.count())
-    blocks = F.ceil((F.col("w") - F.col("most")) / BLOCK).cast("int")
+    blocks, slices = F.ceil((F.col("w") - F.col("most")) / BLOCK).cast("int"), F.ceil(F.col("w") / SLICE).cast("int")
     to = lambda salt, role: F.struct(F.col("cluster").alias("a"), salt.alias("salt"), F.lit(role).alias("role"), F.col("own").alias("member"))
-    held = placed.where("own <> main").select("id", to(F.pmod(F.xxhash64("id"), blocks).cast("int"), 0).alias("to"))
-    passing = placed.select("id", "cluster", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("salt")).select("id", to(F.col("salt"), 1).alias("to"))
-    return _gather(docs, held.unionAll(passing), width).mapInArrow(_settle(percent), "a long, b long").distinct()
+    # a unit is a block and a slice: a held class goes to all slices of its block, a passing one to its slice of all blocks
+    block, slice_ = F.pmod(F.xxhash64("id"), blocks).cast("int"), F.pmod(F.xxhash64("id", F.lit(1)), slices).cast("int")
+    held = placed.where("own <> main").select("id", "cluster", "own", block.alias("block"), slices.alias("slices"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    passing = placed.select("id", "cluster", "own", slice_.alias("slice"), slices.alias("slices"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    routes = [part.select("id", to(F.col("block") * F.col("slices") + F.col("slice"), role).alias("to")) for part, role in ((held, 0), (passing, 1))]
+    return _gather(texts, routes[0].unionAll(routes[1]), width).mapInArrow(_settle(percent), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Documents are linked whose sets of distinct ``width``-word shingles have a Jaccard similarity
-    of ``percent`` / 100 or more.  A pair at 0.8 misses all buckets with probability 2e-5.
-    Null, empty and blank texts have an empty set and are linked with nothing.  Repeated rows are
-    rows of one document.  A null doc_id counts as smallest, and is null in component_id.
-    """
+def _labelled(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Per row of ``docs``: id, key (hash of the text), n (set size), component (smallest id reachable, null first)."""
     spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
-    rows = docs.select(F.coalesce("doc_id", F.lit(SMALLEST)).alias("id"), F.col("text").cast("string").alias("text"))
-    signed = scratch.keep(rows.mapInArrow(_sign(width), "id long, n long, digest binary, bands array<long>"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
+    signed = scratch.keep(rows.select("id", "text", "key").mapInArrow(_sign(width), "id long, key long, n long, digest binary, bands array<long>"))
     total = signed.count()
     classes = scratch.keep(signed.where("n > 0").groupBy("digest").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
+        F.min(F.struct("id", "key")).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+        .withColumn("rep", F.monotonically_increasing_id()))
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    full = scratch.keep(buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("w")).where("w > 1"))
+    mark = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    found = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("w"), *mark).where("w > 1")
+    full = scratch.keep(found.groupBy("x1", "x2", "w", "c").agg(F.min("bucket").alias("bucket")).select("bucket", "c", "w"))
     weight = full.agg(F.sum("w")).head()[0] or 0
-    links = spark.createDataFrame([], "a long, b long")
-    component = None
+    component = spark.createDataFrame([], "id long, component long")
     if weight:
         members = scratch.keep(lookup(buckets, full.select("bucket", "w", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), ["bucket"], "w", weight))
+        texts = _texts(classes, members, rows, scratch)
         close = F.greatest("n", "centre_n") * percent <= F.least("n", "centre_n") * 100
         pairs = members.where("rep <> centre").where(close).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-        tested = scratch.keep(verify(pairs, rows, width, percent, scratch))
+        tested = scratch.keep(verify(pairs, texts, width, percent, scratch))
+        open_ = members.select("bucket", "rep", "n")
         for star in range(STARS):
             component = scratch.keep(components(tested.where("linked").select("a", "b"), scratch))
-            open_ = _open_buckets(members.select("bucket", "rep", "n"), component, scratch)
+            open_ = _open_buckets(open_.select("bucket", "rep", "n"), component, scratch)
             if not open_.limit(1).count():
                 break
             if star == STARS - 1:
-                links = tested.where("linked").select("a", "b").unionAll(settle(open_, rows, width, percent, scratch))
+                links = tested.where("linked").select("a", "b").unionAll(settle(open_, texts, width, percent, scratch))
                 component = scratch.keep(components(links, scratch))
                 break
             pairs = _next_star(open_, star, percent, scratch)
             new = pairs.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti").join(
                 tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-            tested = scratch.keep(tested.unionAll(verify(new, rows, width, percent, scratch)))
-    component = component if component is not None else components(links, scratch)
-    classed = scratch.keep(classes.select("digest", "rep", "copies").join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"), "copies"))
-    joined = lookup(signed.select("id", "n", "digest"), classed, ["digest"], "copies", total, "left")
-    own = F.coalesce("component", "id")
-    plain = lambda c: F.when(c != SMALLEST, c)
-    return joined.select(plain(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), plain(own).alias("component_id"), (own == F.col("id")).alias("kept"))
+            tested = scratch.keep(tested.unionAll(verify(new, texts, width, percent, scratch)))
+    placed = scratch.keep(classes.select("digest", "rep", "copies", "first.id").join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "digest", F.coalesce("component", "rep").alias("group"), "copies", "id"))
+    groups = scratch.keep(placed.groupBy("group").agg(F.min(F.struct("id")).alias("least"), F.count("*").alias("w")))
+    named = lookup(placed, groups.withColumn("component", F.col("least.id")).drop("least"), ["group"], "w", placed.count())
+    classed = scratch.keep(named.select("digest", "component", "copies", F.lit(True).alias("classed")))
+    joined = lookup(signed.select("id", "key", "n", "digest"), classed, ["digest"], "copies", total, "left")
+    return joined.select("id", "key", "n", F.when(F.col("classed"), F.col("component")).otherwise(F.col("id")).alias("component"))
+
+
+def _texts(classes: DataFrame, members: DataFrame, rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id: class number, text) of all classes that share a bucket: read from the documents once."""
+    wanted = classes.select("rep", "first.id", "first.key").join(members.select("rep").distinct(), "rep", "left_semi").select(
+        F.col("rep").alias("class"), F.col("id").alias("of_id"), F.col("key").alias("of_key"))
+    match = rows["id"].eqNullSafe(F.col("of_id")) & (rows["key"] == F.col("of_key"))
+    return scratch.keep(rows.join(wanted, match).select(F.col("class").alias("id"), "text").dropDuplicates(["id"]))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked whose sets of distinct ``width``-word shingles have a Jaccard similarity
+    of ``percent`` / 100 or more.  A pair at 0.8 misses all buckets with probability 2e-5.
+    Null, empty and blank texts have an empty set and are linked with nothing.  Repeated rows, and different
+    texts with the same doc_id or none, are rows of their own.  A null doc_id counts as smallest, and is
+    null in component_id.  Texts are read whole; other columns are not read, so their names do not matter.
+    """
+    found = _labelled(docs, width, percent, scratch or Scratch(docs.sparkSession))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("component").eqNullSafe(F.col("id")).alias("kept"))
 
 
 def _open_buckets(members: DataFrame, component: DataFrame, scratch: Scratch) -> DataFrame:
-    """Members, with their component, of buckets that hold several components."""
+    """Members (bucket, rep, n), with their component, of the buckets that hold several components."""
     placed = scratch.keep(members.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
-    mixed = scratch.keep(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("w")).where("low < high AND w > 2"))
-    total = mixed.agg(F.sum("w")).head()[0] or 0
-    return scratch.keep(lookup(placed, mixed.select("bucket", "w"), ["bucket"], "w", total).drop("w"))
+    mixed = scratch.keep(placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("w")).where("low < high AND w > 2").select("bucket", "w"))
+    count, total = mixed.agg(F.count("*"), F.sum("w")).head()
+    if count <= OPEN:
+        return scratch.keep(placed.join(F.broadcast(mixed.select("bucket")), "bucket", "left_semi"))
+    return scratch.keep(lookup(placed, mixed, ["bucket"], "w", total).drop("w"))
 
 
 def _next_star(open_: DataFrame, star: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -283,6 +310,11 @@ def _next_star(open_: DataFrame, star: int, percent: int, scratch: Scratch) -> D
 
 
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` with the document of smallest doc_id of each group, all columns unchanged."""
-    stay = near_duplicates(docs, width, percent, scratch).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """``docs`` with the document of smallest doc_id of each group, all columns unchanged, whatever their names.
+
+    Rows with that doc_id stay, repeated ones too; documents without an id count as smallest.
+    """
+    found = _labelled(docs, width, percent, scratch or Scratch(docs.sparkSession))
+    stay = found.where(F.col("component").eqNullSafe(F.col("id"))).select(F.col("id").alias(free_name(docs, "kept_id")), F.col("key").alias(free_name(docs, "kept_key"))).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(stay[stay.columns[0]]) & (F.xxhash64(docs["text"].cast("string")) == stay[stay.columns[1]])
+    return docs.join(stay, same, "left_semi")

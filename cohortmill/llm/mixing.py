@@ -6,12 +6,16 @@ weighted squares of what is missing.  A rate depends only on the document and on
 steps, a few numbers each, so that every step is one aggregation over documents.
 """
 
+import logging
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch, text_or_empty
+from .common import Scratch, plain_columns, text_or_empty
+
+LOG = logging.getLogger(__name__)
 
 DOMAINS = ("good", "poor", "toxic")
 FEATURES = 1 << 12
@@ -23,7 +27,7 @@ def domain(quality: Column, toxic: Column) -> Column:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """Adds words and hashed word counts, as shares of the document's words."""
+    """Adds words and which hashed words occur."""
     words = RegexTokenizer(inputCol="__text", outputCol="__words", pattern=r"\s+").transform(docs.withColumn("__text", text_or_empty()))
     return HashingTF(inputCol="__words", outputCol="__counts", numFeatures=FEATURES, binary=True).transform(words)
 
@@ -109,37 +113,46 @@ def fit_rates(held: DataFrame, targets: dict[str, float], budget: float = 1.0, m
         at = held.select("tokens", "p", _state(F.col("p"), steps).alias("at"))
         sums = at.agg(*[F.sum(F.col(f"at.{v}") * F.col("tokens") * F.get("p", F.lit(i))).alias(f"{v}{i}") for v in "xy" for i in k]).head()
         shares = [sums[f"x{i}"] / total for i in k]
-        if max(abs(s - g) for s, g in zip(shares, goal)) <= tolerance * budget or len(steps) == most_steps:
+        gap = max(abs(s - g) for s, g in zip(shares, goal))
+        if gap > tolerance * budget and len(steps) == most_steps:
+            LOG.warning("targets missed after %d steps: reached %s of %s", most_steps, shares, goal)
+        if gap <= tolerance * budget or len(steps) == most_steps:
             return steps, shares
         missing = [sums[f"y{i}"] / total - goal[i] for i in k]
         steps.append([round(sum(weight[i][j] * missing[j] for j in k), 9) for i in k])
 
 
-def _copies(rate_: Column, doc_id: Column) -> Column:
-    """A rate as a whole number of copies: rounded up with the probability of its fraction, by a hash of the id."""
-    return (F.floor(rate_) + (F.pmod(F.xxhash64(doc_id, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20) < rate_ - F.floor(rate_)).cast("long")).cast("long")
+def _mark(doc_id: Column, text: Column) -> Column:
+    """What the rounding of a row goes by: its id, or the hash of its text where it has none."""
+    return F.coalesce(doc_id.cast("long"), F.xxhash64(text))
+
+
+def _copies(rate_: Column, mark: Column) -> Column:
+    """A rate as a whole number of copies: rounded up with the probability of its fraction, by a hash of the mark."""
+    return (F.floor(rate_) + (F.pmod(F.xxhash64(mark, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20) < rate_ - F.floor(rate_)).cast("long")).cast("long")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], budget: float = 1.0, label_rows: int = 4_000, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, tokens, p_good, p_poor, p_toxic, rate, copies.
 
     Null and empty texts have no tokens; their rate follows from the posteriors of an empty text and changes no total.
-    Repeated rows count each.
+    Repeated rows count each and are rounded alike.  Texts are read whole; other columns are not read.
+    Shares that miss a target by more than the tolerance are reported as a warning.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    held = scratch.keep(posteriors(docs.select("doc_id", "text"), fit_domains(docs, labels, label_rows)).select("doc_id", "tokens", "p"))
+    made = posteriors(docs.select("doc_id", "text"), fit_domains(docs, labels, label_rows))
+    held = scratch.keep(made.select("doc_id", _mark(F.col("doc_id"), F.col("text")).alias("mark"), "tokens", "p"))
     steps, _ = fit_rates(held, targets, budget)
     return held.withColumn("rate", rate(F.col("p"), steps)).select(
-        "doc_id", "tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", _copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+        "doc_id", "tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", _copies(F.col("rate"), F.col("mark")).alias("copies"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], budget: float = 1.0, label_rows: int = 4_000, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` with every row as often as its rate says, columns unchanged."""
+    """``docs`` with every row as often as its rate says, columns unchanged, whatever their names."""
     scratch = scratch or Scratch(docs.sparkSession)
     model = fit_domains(docs, labels, label_rows)
-    columns = docs.columns
-    whole = posteriors(docs.select(F.struct(*columns).alias("__row"), "text"), model)
+    whole = posteriors(docs.select(F.struct(*plain_columns(docs)).alias("__row"), "text"), model)
     held = scratch.keep(whole.select("tokens", "p"))
     steps, _ = fit_rates(held, targets, budget)
-    n = _copies(rate(F.col("p"), steps), F.col("__row.doc_id")).cast("int")
+    n = _copies(rate(F.col("p"), steps), _mark(F.col("__row.doc_id"), F.col("text"))).cast("int")
     return whole.select("__row", F.explode(F.array_repeat(F.lit(0), n)).alias("__copy")).select("__row.*")
