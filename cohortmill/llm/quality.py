@@ -187,20 +187,24 @@ def normal_equations(rows: DataFrame, model: QualityModel) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, features: int = FEATURES, width: float = WIDTH, ridge: float = RIDGE,
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, part (0 to 3 by a hash of the text, so that equal texts stay together) and statistics of every row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select("doc_id", held_out().alias("held_out"), F.pmod(F.xxhash64(text), F.lit(4)).cast("int").alias("part"), _column(text).alias("statistics"))
+
+
+def fit(rows: DataFrame, labels: DataFrame, learn: Column | None = None, features: int = FEATURES, width: float = WIDTH, ridge: float = RIDGE,
         seed: int = SEED, scratch: Scratch | None = None) -> QualityModel:
-    """Learns ``labels.quality`` (0 or 1; other values teach nothing) of documents that are not held out.
+    """Learns ``labels.quality`` (0 or 1; other values teach nothing) of ``rows`` (stored ``measured``) that are not held out.
 
-    All such rows are used, without a sample: three quarters by the normal equations, the others, chosen by the
-    hash of their text so that equal texts stay together, by the calibration.  A document with several labels
-    teaches each of them.  Driver and tasks hold matrices of ``features`` squared and STEPS counts, whatever the
+    All such rows are used, without a sample: three quarters by the normal equations, those of part 0 by the
+    calibration.  A document with several labels teaches each of them.  Only statistics travel to the labels, never
+    texts.  Driver and tasks hold matrices of ``features`` squared and STEPS counts, whatever the
     number of rows.  Without rows every score is 0.5; with one label only, its value.
     """
-    scratch = scratch or Scratch(docs.sparkSession)
+    scratch = scratch or Scratch(rows.sparkSession)
     label = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("double").alias("label"))
-    text = F.col("text").cast("string")
-    wanted = docs.where(~held_out() if learn is None else learn).select("doc_id", text.alias("text")).join(label, "doc_id")
-    rows = scratch.keep(wanted.select(_column(F.col("text")).alias("statistics"), "label", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(4)).alias("part")))
+    rows = scratch.keep(rows.where(~F.col("held_out") if learn is None else learn).join(label, "doc_id").select("statistics", "label", "part"))
     each = range(len(STATISTICS))
     sums = rows.agg(F.count("*"), *[F.avg(F.col("statistics")[k]) for k in each], *[F.stddev_pop(F.col("statistics")[k]) for k in each]).head()
     n, mean, deviation = sums[0], np.array(sums[1:1 + len(each)], float), np.array(sums[1 + len(each):], float)
@@ -240,24 +244,24 @@ def _column_of_output(values: Column, model: QualityModel) -> Column:
     return output(values)
 
 
-def predict(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= threshold)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def predict(rows: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:
+    """One row per row of ``measured``: doc_id, held_out, score, predicted (1 if score >= threshold)."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        parts = [shared.value.score(statistics(as_bytes(texts.slice(a, b - a)))) for a, b in stretches(texts)]
-        return pa.array(np.concatenate(parts) if parts else np.empty(0))
+    def scored(column: pa.Array) -> pa.Array:
+        return pa.array(shared.value.score(_vectors(column)))
 
-    out = docs.select("doc_id", held_out().alias("held_out"), scored(F.col("text").cast("string")).alias("score"))
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return rows.select("doc_id", "held_out", scored(F.col("statistics")).alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, scratch: Scratch | None = None, **options) -> DataFrame:
     """Scores of all documents by a model learned from those that are not held out.
 
-    Null text counts as empty; empty and blank texts get the score of their (zero) statistics.  Whole texts
-    are read, whatever their length.  Rows without an id are not held out and teach nothing; repeated rows
+    Null text counts as empty; empty and blank texts get the score of their statistics.  Whole texts
+    are read, whatever their length, and once.  Rows without an id are not held out and teach nothing; repeated rows
     teach and are scored each; equal texts get equal scores.  Other columns are not read, so their names do not matter.
     """
-    return predict(docs, fit(docs, labels, **options), threshold)
+    scratch = scratch or Scratch(docs.sparkSession)
+    rows = scratch.keep(measured(docs))
+    return predict(rows, fit(rows, labels, scratch=scratch, **options), threshold)
