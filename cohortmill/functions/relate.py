@@ -1,5 +1,7 @@
 """Joining small statistics to rows, spreading rows, and cutting lineage."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .nulls import all_of
@@ -89,3 +91,19 @@ def free(df: DataFrame) -> None:
         context = df.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(file.get())
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as read again from a new Parquet table in the shared folder: computed once, read by columns."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held._stored_at = path
+    return held
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables from ``stored`` that no plan reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -112,8 +112,7 @@ def explore_dataset(dataset: DataFrame, features, outcome: str, key: str = "samp
 
 
 def predict(curated: DataFrame, intensity: DataFrame, features, outcome: str, kind: str = "biosample", who: str = "all",
-            n_trials: int = 150, timeout: float = 7200.0, seed=1500, parallelism: int = 4, samplers=("random", "near_miss", "tomek"),
-            n_splits: int = 6) -> dict:
+            n_trials: int = 150, seed=1500, samplers=("random", "near_miss", "tomek"), n_splits: int = 6) -> dict:
     """Dataset, tuning, final model, lockbox metrics and importance for the given features."""
     features = [str(f) for f in features]
     dataset = cut_lineage(make_dataset(kind, curated, intensity, features, outcome))
@@ -128,7 +127,7 @@ def predict(curated: DataFrame, intensity: DataFrame, features, outcome: str, ki
         raise ValueError("no feature without missing values; impute the intensities first")
     covariates = boosting.covariates_for(kind, dataset)
     best, trials = boosting.tune_random_search(
-        filled, usable, covariates, outcome, key, n_trials, timeout, seed=seed, parallelism=parallelism, samplers=samplers, n_splits=n_splits)
+        filled, usable, covariates, outcome, key, n_trials, seed=seed, samplers=samplers, n_splits=n_splits)
     model, final = boosting.final_model(filled, usable, covariates, outcome, key, best, seed=seed)
     return {"dataset": dataset, "features": usable, "best": best, "trials": trials, "model": model, "final_metrics": final,
             "lockbox_metrics": boosting.lockbox_evaluate(model, dataset, outcome, who=who),

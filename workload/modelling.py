@@ -2,9 +2,9 @@
 
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from cohortmill.functions.relate import stored
 from cohortmill.operators import boosting, cohort, explore, sampling, scoring, shapes
 from cohortmill.plans import jobs
 
@@ -168,7 +168,8 @@ FEATURES = list(WIDE.columns)
 
 
 def narrow(t):
-    return labelled(t).select("vec_id", "site", "outcome", "dataset_assignment", *FEATURES)
+    """The labelled table as a user would keep it: computed once, whatever reads it."""
+    return stored(labelled(t).select("vec_id", "site", "outcome", "dataset_assignment", *FEATURES))
 
 
 def trained(t):
@@ -179,7 +180,7 @@ def trained(t):
 @query("gbt_classifier")
 def _(t):
     rows = narrow(t)
-    vectors = rows.select("vec_id", "outcome", array_to_vector(F.array(*FEATURES)).alias("features"))
+    vectors = rows.select("vec_id", "outcome", F.array(*FEATURES).alias("features"))
     return boosting.scored(boosting.fit_gbt(vectors, "outcome", PARAMS), vectors, ["vec_id", "outcome"])
 
 
@@ -210,7 +211,7 @@ def _(t):
 def _(t):
     rows = narrow(t).withColumn("maternal_age", F.col("site") * 1.5 + 18)
     model = boosting.train(rows, FEATURES, boosting.covariates_for("biosample", rows), "outcome", "vec_id", PARAMS)
-    return model.prepare(rows, ["vec_id"]).select("vec_id", vector_to_array("features").alias("features"))
+    return model.prepare(rows, ["vec_id"]).select("vec_id", "features")
 
 
 @query("permutation_importance")

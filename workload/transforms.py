@@ -17,9 +17,7 @@ def picked(df, *columns):
 
 def embedded(t):
     """Embeddings as a wide table: vec_id, site, label, e0..e63."""
-    e = F.col("embedding")
-    return t["embeddings"].select("vec_id", (F.col("label") % 5).alias("site"), "label",
-                                  *[e[i].cast("double").alias(f"e{i}") for i in range(64)])
+    return t["embeddings"].selectExpr("vec_id", "label % 5 AS site", "label", *[f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(64)])
 
 
 WIDE = Wide([f"e{i}" for i in range(64)])
