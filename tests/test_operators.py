@@ -240,26 +240,126 @@ def test_failed_trials_are_reported(spark):
         boosting.tune_random_search(rows, ["f"], [], "y", "sample_id", n_trials=1, n_splits=3, samplers=("random",))
 
 
-def test_trials_over_all_samplers_share_prepared_folds(spark, monkeypatch):
+def plain_boosting(x, y, learned, watched, edges, how, hashes):
+    """Second-order boosting row by row: margins of all rows in the best round, and the losses watched."""
+    def soft(g):
+        return math.copysign(max(abs(g) - how.l1, 0.0), g)
+
+    def worth(g, h):
+        return soft(g) ** 2 / (h + how.l2)
+
+    margins, losses, kept = [0.0] * len(y), [], []
+    for turn in range(how.rounds):
+        p = [1 / (1 + math.exp(-m)) for m in margins]
+        w = [how.weight if c else 1.0 for c in y]
+        g, h = [a * (b - c) for a, b, c in zip(w, p, y)], [a * b * (1 - b) for a, b in zip(w, p)]
+
+        def node(rows, inner, depth):
+            sums = [sum(v[i] for i in rows) for v in (g, h)]
+            best = (1e-12, None, None)
+            if depth < how.depth and rows and (depth == 0 or sums[1] >= 2 * how.least):
+                for f in range(len(edges)):
+                    for e in edges[f]:
+                        left = [i for i in rows if x[i][f] <= e]
+                        gl, hl = sum(g[i] for i in left), sum(h[i] for i in left)
+                        if hl >= how.least and sums[1] - hl >= how.least:
+                            gain = 0.5 * (worth(gl, hl) + worth(sums[0] - gl, sums[1] - hl) - worth(*sums)) - how.gamma
+                            if gain > best[0] + 1e-9:
+                                best = gain, f, e
+            if best[1] is None:
+                for i in inner:
+                    margins[i] += -soft(sums[0]) / (sums[1] + how.l2) * how.rate
+                return
+            _, f, e = best
+            node([i for i in rows if x[i][f] <= e], [i for i in inner if x[i][f] <= e], depth + 1)
+            node([i for i in rows if x[i][f] > e], [i for i in inner if x[i][f] > e], depth + 1)
+
+        node(learned, list(range(len(y))), 0)
+        kept.append(list(margins))
+        losses.append(sum(math.log1p(math.exp(-margins[i] if y[i] else margins[i])) for i in watched) / len(watched))
+        best = losses.index(min(losses))
+        if how.patience is not None and len(losses) - 1 - best >= how.patience:
+            break
+    return kept[losses.index(min(losses))], losses
+
+
+def test_boosting_agrees_with_a_plain_loop(spark):
+    from cohortmill.operators import trees as forest
+
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(240, 3)), 1)
+    y = ((x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=240)) > 0.5).astype(int)
+    fold = rng.integers(0, 3, 240)
+    data = [(i, int(c), int(f), 0, [int(i)] * 3, [], v.tolist()) for i, (c, f, v) in enumerate(zip(y, fold, x))]
+    rows = spark.createDataFrame(data, "h long, y int, fold int, site int, ranks array<long>, picks array<int>, x array<double>").repartition(3)
+    blocks = forest.pack(rows, 3, 3, 0)
+    parts = [forest.Part(f) for f in range(3)] + [forest.Part(1, forest.RANKED, limit=120)]
+    still = np.zeros((len(parts), 2, 3))
+    models = [forest.Growth(k % 4, 12, 1 + k % 3, 0.4, 1.0 + k % 2, 0.05 * k, 1.0 + k, l2=0.5 + k, l1=0.1 * k, patience=(None, 2)[k % 2]) for k in range(6)]
+    edges = forest.tree_edges(blocks, still[0], 3)
+    search = forest.Search(parts, still, np.zeros((len(parts), 3)), edges, models)
+    grown = forest.grow(blocks, search, 3)
+    for how, trees in zip(models, grown):
+        part = parts[how.part]
+        learned = [i for i in range(240) if fold[i] != part.fold and (part.kind == forest.EVERYTHING or y[i] or i <= part.limit)]
+        watched = [i for i in range(240) if fold[i] == part.fold]
+        margins, losses = plain_boosting(x.tolist(), y.tolist(), learned, watched, edges.tolist(), how, None)
+        assert trees.losses == pytest.approx(losses)
+        if how.patience is not None:
+            assert trees.margins(x) == pytest.approx(margins)
+    alone = forest.grow(blocks, forest.Search(parts, still, np.zeros((len(parts), 3)), edges, models[3:4]), 3)[0]
+    assert alone.margins(x) == pytest.approx(grown[3].margins(x))
+
+
+def test_medians_of_all_parts_are_exact(spark):
+    from cohortmill.operators import trees as forest
+
+    rng = np.random.default_rng(3)
+    n = 900
+    x = np.stack((rng.normal(size=n), rng.integers(0, 3, n), np.exp(rng.normal(size=n) * 4)), axis=1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 1][rng.random(n) < 0.5] = 1.0
+    fold, site, y = rng.integers(0, 3, n), rng.integers(-1, 2, n), rng.integers(0, 2, n)
+    data = [(i, int(a), int(b), int(c), [int(i)] * 3, [0] if i % 3 else [], v.tolist()) for i, (a, b, c, v) in enumerate(zip(y, fold, site, x))]
+    rows = spark.createDataFrame(data, "h long, y int, fold int, site int, ranks array<long>, picks array<int>, x array<double>")
+    parts = [forest.Part(-1), forest.Part(1), forest.Part(0, forest.RANKED, limit=200), forest.Part(2, forest.PICKED, pick=0)]
+    got = forest.part_medians(forest.pack(rows, 3, 3, 1), parts, 2, 3)
+    for p, part in enumerate(parts):
+        used = fold != part.fold
+        if part.kind == forest.RANKED:
+            used &= (y == 1) | (np.arange(n) <= part.limit)
+        if part.kind == forest.PICKED:
+            used &= np.arange(n) % 3 != 0
+        for s in range(3):
+            of = used if s == 2 else used & (site == s)
+            assert got[p, s] == pytest.approx(np.nanmedian(x[of], axis=0))
+
+
+def test_trials_over_all_samplers(spark, monkeypatch):
     from cohortmill.operators import boosting
 
     rng = np.random.default_rng(4)
-    data = [(i, "a", int(i % 4 == 0), float(x + (i % 4 == 0)), float(z), ("fold_0", "fold_1", "lockbox")[i // 4 % 3]) for i, (x, z) in enumerate(rng.normal(size=(120, 2)))]
+    data = [(i, "ab"[i % 5 > 2], int(i % 4 == 0), float(x + (i % 4 == 0)), float(z), ("fold_0", "fold_1", "lockbox")[i // 4 % 3]) for i, (x, z) in enumerate(rng.normal(size=(120, 2)))]
     rows = spark.createDataFrame(data, "sample_id long, site string, y int, f double, g double, dataset_assignment string").coalesce(1).cache()
-    drawn = [boosting.TreeParams(sampler=s, n_estimators=n, max_depth=2) for s, n in (("random", 2), ("near_miss", 2), ("near_miss", 3), ("tomek", 2), ("tomek", 3))]
-    left, calls, make = iter(drawn), [], boosting.prepare_training
-    monkeypatch.setattr(boosting, "draw_params", lambda *_: next(left))
-    monkeypatch.setattr(boosting, "prepare_training", lambda df, f, c, y, k, p, *a: (calls.append(p.sampler), make(df, f, c, y, k, p, *a))[1])
-    _, table = boosting.tune_random_search(rows, ["f", "g"], [], "y", "sample_id", n_trials=5, n_splits=3)
-    table = table.cache()
-    assert table.where("error IS NOT NULL").count() == 0
-    assert sorted(calls) == ["near_miss"] * 2 + ["random"] * 2 + ["tomek"] * 2
-    got = {r["trial"]: r["mean"] for r in table.where("metric = 'AUROC_val'").collect()}
-    assert set(got) == set(range(5))
-    for number in (2,):
-        areas = [boosting.evaluate(boosting.train(rows.where(f"dataset_assignment = '{a}'"), ["f", "g"], [], "y", "sample_id", drawn[number]),
-                                   rows.where(f"dataset_assignment = '{b}'"), "y", "_val").first()["AUROC_val"] for a, b in (("fold_1", "fold_0"), ("fold_0", "fold_1"))]
-        assert got[number] == pytest.approx(sum(areas) / 2)
+    drawn = [boosting.TreeParams(sampler=s, n_estimators=n, max_depth=2, reg_lambda=0.1) for s, n in (("random", 2), ("near_miss", 2), ("near_miss", 3), ("tomek", 2), ("tomek", 3))]
+    calls, make = [], boosting.undersample
+    monkeypatch.setattr(boosting, "undersample", lambda df, y, k, c, sampler, *a: (calls.append(sampler), make(df, y, k, c, sampler, *a))[1])
+
+    def search(params):
+        left = iter(params)
+        monkeypatch.setattr(boosting, "draw_params", lambda *_: next(left))
+        best, table = boosting.tune_random_search(rows, ["f"], ["g"], "y", "sample_id", n_trials=len(params), n_splits=3)
+        assert table.where("error IS NOT NULL").count() == 0
+        return best, {(r["trial"], r["metric"]): r["mean"] for r in table.collect()}
+
+    best, whole = search(drawn)
+    assert sorted(calls) == ["near_miss"] * 2 + ["tomek"] * 2
+    assert {n for n, _ in whole} == set(range(5))
+    values = [whole[n, "PPV_val"] for n in range(5)]
+    assert best == drawn[values.index(max(values))]
+    for number in (0, 2):     # a trial alone has the same scores
+        _, alone = search([drawn[number]])
+        assert {m: v for (n, m), v in whole.items() if n == number} == pytest.approx({m: v for (_, m), v in alone.items()})
 
 
 def test_registered_searches_are_whole(monkeypatch):
