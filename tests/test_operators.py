@@ -124,25 +124,49 @@ def logit_rows(spark, n=400, seed=3):
     return spark.createDataFrame(data, "k string, x double, c double, s string, y int")
 
 
-def test_logit_paths_agree_with_each_other_and_with_glm(spark):
+def test_logit_agrees_in_any_units_and_with_glm(spark):
     df = logit_rows(spark)
-    fits = {m: {r["k"]: r for r in assoc.logit_by_feature(df, "y", "x", ["c"], ["s"], ["k"], method=m).collect()} for m in ("groups", "sums")}
-    mixed = {r["k"]: r for r in assoc.logit_by_feature(df, "y", "x", ["c"], ["s"], ["k"], max_group_rows=100).collect()}
+    fits = {m: {r["k"]: r for r in assoc.logit_by_feature(df, "y", "x", ["c"], ["s"], ["k"], unit_rows=m).collect()} for m in (65_536, 90, 16)}
     for k in ("a", "b"):
-        g, s = fits["groups"][k], fits["sums"][k]
-        assert g["is_converged"] and s["is_converged"]
-        for field in ("estimate", "std_error", "p_value", "log_likelihood", "null_log_likelihood"):
-            assert g[field] == pytest.approx(s[field], rel=1e-8) and g[field] == pytest.approx(mixed[k][field], rel=1e-8)
+        for m in (90, 16):
+            g, s = fits[65_536][k], fits[m][k]
+            assert g["is_converged"] and s["is_converged"]
+            for field in ("estimate", "std_error", "p_value", "log_likelihood", "null_log_likelihood"):
+                assert g[field] == pytest.approx(s[field], rel=1e-8)
     one = df.where("k = 'a'").withColumn("s1", (F.col("s") == "s1").cast("int")).withColumn("s2", (F.col("s") == "s2").cast("int"))
     glm = {r["term"]: r for r in assoc.logit_global(one, "y", ["x", "c", "s1", "s2"]).collect()}["x"]
-    assert fits["groups"]["a"]["estimate"] == pytest.approx(glm["estimate"], abs=1e-6)
-    assert fits["groups"]["a"]["std_error"] == pytest.approx(glm["std_error"], abs=1e-6)
+    assert fits[90]["a"]["estimate"] == pytest.approx(glm["estimate"], abs=1e-6)
+    assert fits[90]["a"]["std_error"] == pytest.approx(glm["std_error"], abs=1e-6)
     for m in fits.values():
         assert m["sep"]["perfect_separation_warning"] and not m["sep"]["is_converged"]
         assert m["flat"]["unexpected_error"] == assoc.NO_VARIANCE and m["few"]["unexpected_error"] == assoc.TOO_SMALL
         assert m["dup"]["singular_matrix_error"] and m["dup"]["estimate"] is None
 
 
+def test_logit_with_many_levels_and_two_categories(spark):
+    rng = np.random.default_rng(6)
+    n, levels = 6000, 400
+    x, s, t = rng.normal(size=n), rng.integers(0, levels, n), rng.integers(0, 3, n)
+    shift = rng.normal(size=levels)
+    y = (rng.random(n) < 1 / (1 + np.exp(-(0.4 * x + shift[s] * 0.5 + 0.3 * t)))).astype(int)
+    seen = [k for k in range(levels) if 0 < y[s == k].mean() < 1]
+    kept = np.isin(s, seen)
+    x, s, t, y = x[kept], s[kept], t[kept], y[kept]
+    design = np.column_stack([x, t == 1, t == 2, *[s == k for k in seen]]).astype(float)
+    beta = np.zeros(design.shape[1])
+    for _ in range(30):
+        mu = 1 / (1 + np.exp(-design @ beta))
+        cov = np.linalg.inv((design * (mu * (1 - mu))[:, None]).T @ design)
+        beta = beta + cov @ design.T @ (y - mu)
+    df = spark.createDataFrame([("k", float(a), f"s{b}", f"t{c}", int(d)) for a, b, c, d in zip(x, s, t, y)], "k string, x double, s string, t string, y int")
+    for rows in (65_536, 700):
+        got = assoc.logit_by_feature(df, "y", "x", [], ["t", "s"], ["k"], unit_rows=rows).first()
+        assert got["is_converged"] and got["estimate"] == pytest.approx(beta[0], abs=1e-6) and got["std_error"] == pytest.approx(math.sqrt(cov[0, 0]), abs=1e-6)
+    wide = spark.range(20_000).select(F.lit("k").alias("k"), ((F.col("id") * 7919) % 1000 / 500.0).alias("x"), (F.col("id") % 5000).cast("string").alias("s"), F.expr("CAST((id * 104729 + id DIV 5000) % 3 > 0 AS INT)").alias("y"))
+    one, many = (assoc.logit_by_feature(wide, "y", "x", [], ["s"], ["k"], unit_rows=r).first() for r in (65_536, 3000))
+    assert one["n_observations"] == 20_000 and one["estimate"] == pytest.approx(many["estimate"], abs=1e-6)
+
+
 def test_neighbours_match_brute_force(spark):
     rng = np.random.default_rng(5)
     q, p = rng.normal(size=(60, 3)), rng.normal(size=(300, 3))

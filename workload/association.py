@@ -35,8 +35,8 @@ def _(t):
 
 @query("logit_by_feature_sums")
 def _(t):
-    """The same models by distributed sums, the path for keys too large for one task."""
-    return assoc.logit_by_feature(modelled(t).withColumn("x", F.ln("value")), "outcome", "x", ["balance", "total"], ["site"], ["feature_id"], method="sums")
+    """The same models with every key in many units, whose sums meet in each step."""
+    return assoc.logit_by_feature(modelled(t).withColumn("x", F.ln("value")), "outcome", "x", ["balance", "total"], ["site"], ["feature_id"], unit_rows=200)
 
 
 TABLE2X2 = """(SELECT feature_id, CAST(count(*) FILTER (x AND y) AS DOUBLE) AS a, CAST(count(*) FILTER (x AND NOT y) AS DOUBLE) AS b,
@@ -50,19 +50,19 @@ CLOSED_COLUMNS = ["feature_id", "estimate", "std_error", "ci_lower", "ci_upper",
 CLOSED_DOUBLES = " ".join(CLOSED_COLUMNS[1:7])
 
 
-def binary(t, method):
+def binary(t, unit_rows=65_536):
     rows = modelled(t).withColumn("x", (F.col("value") > 50000).cast("int"))
-    return assoc.logit_by_feature(rows, "outcome", "x", keys=["feature_id"], method=method).select(*CLOSED_COLUMNS)
+    return assoc.logit_by_feature(rows, "outcome", "x", keys=["feature_id"], unit_rows=unit_rows).select(*CLOSED_COLUMNS)
 
 
 @query("logit_by_feature_binary", CLOSED, CLOSED_DOUBLES)
 def _(t):
-    return binary(t, "auto")
+    return binary(t)
 
 
 @query("logit_by_feature_binary_sums", CLOSED, CLOSED_DOUBLES)
 def _(t):
-    return binary(t, "sums")
+    return binary(t, 200)
 
 
 @query("logit_global", """
