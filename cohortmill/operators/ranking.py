@@ -2,13 +2,13 @@
 
 A plain window over a hot key puts that key into one task.  Here values are first collapsed to
 distinct ones with counts (hot values become one row), then either bracketed by a sketch
-(quantiles) or cut into chunks of bounded size with running totals carried over (scans).
+(quantiles) or cut into ranges of even size with running totals carried over (scans).
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import number
-from ..functions.relate import SALTS, attach, attach_checked, md5_order
+from ..functions.relate import SALTS, attach, attach_checked, md5_order, stored
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
 
@@ -95,34 +95,20 @@ def quantiles(df: DataFrame, by, value, probs, interpolate: bool = False, accura
     return exact_quantiles(df, by, value, probs, interpolate)
 
 
-def chunked(df: DataFrame, by, order: str, total: Column | None = None, small: int = 50_000, steps: int = 64) -> DataFrame:
-    """Label rows with ``__chunk`` so that chunks follow ``order`` within each group.
+def chunked(df: DataFrame, by, order: str, total: Column | None = None, chunks: int | None = None) -> DataFrame:
+    """Label rows with ``__chunk`` so that chunks follow ``order`` within each group, and store them.
 
-    Groups of at most ``small`` rows stay whole.  In larger ones the position between the group's
-    minimum and maximum is cut on a log scale from both ends (``steps`` chunks per factor of two),
-    so chunks stay small for uniform, peaked and one-sided values.  Labels depend only on minimum,
-    maximum and value, hence are the same in every attempt of a task.  With ``total`` the group's
-    sum of it is added as ``__n``; without, only the few large groups are joined.  Meant for frames holding each (group, order) once, so
-    that a repeated value cannot fill a chunk.  The explicit repartition keeps the scans from
-    inheriting a partitioning by group alone.
+    Rows are range-partitioned by group and ``order`` at sampled borders, so chunks hold about equally many rows
+    whatever the values; a chunk is the part of a group in one partition.  The labelled rows are stored (one job):
+    what is read several times keeps its labels.  ``chunks`` fixes the number of ranges, otherwise
+    partition sizes decide.  With ``total`` the group's sum of it is added as ``__n``.  Meant for frames holding each
+    (group, order) once, so that a repeated value cannot fill a chunk.
     """
-    octaves = 30
-    totals = [F.sum(total).alias("__n")] if total is not None else []
-    stats = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__rows"), *totals,
-        F.min(order).cast("double").alias("__min"), F.max(order).cast("double").alias("__max"),
-    )
-    if total is None and by:
-        stats = stats.where(F.col("__rows") > small)
-    y = F.try_divide(F.col(order).cast("double") - F.col("__min"), F.col("__max") - F.col("__min"))
-
-    def scale(z):
-        return F.floor(F.log2(z * float(2 ** octaves) + 1.0) * steps)
-
-    label = F.when(y <= 0.5, scale(y)).otherwise(2 * octaves * steps - scale(1.0 - y))
-    return attach(df, stats, by).withColumn(
-        "__chunk", F.when((F.coalesce(F.col("__rows"), F.lit(0)) <= small) | y.isNull(), F.lit(0)).otherwise(label).cast("long")
-    ).drop("__rows", "__min", "__max").repartition(*by, "__chunk")
+    by = list(by)
+    if total is not None:
+        df = attach(df, df.groupBy(*by).agg(F.sum(total).alias("__n")), by)
+    placed = df.repartitionByRange(*([chunks] if chunks else []), *by, order)
+    return stored(placed.withColumn("__chunk", F.spark_partition_id().cast("long")))
 
 
 def running(df: DataFrame, by, order: str, name: str, how: str, expr: Column, descending: bool = False) -> DataFrame:

@@ -20,12 +20,12 @@ def pivot_wide(long: DataFrame, features, sample="sample_id", feature: str = "fe
     return wide.toDF(*keys, *[f"{prefix}{f}" for f in features])
 
 
-def series_auc(df: DataFrame, subject, feature: str, time: str, value: str, tiebreak: str, small: int = 50_000) -> DataFrame:
+def series_auc(df: DataFrame, subject, feature: str, time: str, value: str, tiebreak: str, chunks: int | None = None) -> DataFrame:
     """Per (subject, feature): ``n_points``, ``first_time``, ``last_time``, ``baseline`` and ``auc``.
 
     ``auc`` is the trapezoid area of (value - first value) over time, divided by the time span;
     null without a span.  Points at one time are ordered by ``tiebreak`` and collapse to their first
-    and last value.  Long series are cut into time chunks; each chunk is summed on its own and the
+    and last value.  Series are cut into ranges of time; each chunk is summed on its own and the
     trapezoids between chunks are added from the chunks' end points.
     """
     keys = [*([subject] if isinstance(subject, str) else subject), feature]
@@ -33,7 +33,7 @@ def series_auc(df: DataFrame, subject, feature: str, time: str, value: str, tieb
         .where(F.col("v").isNotNull() & F.col("t").isNotNull())
     points = known.groupBy(*keys, "t").agg(
         F.min_by("v", "k").alias("a"), F.max_by("v", "k").alias("b"), F.count(F.lit(1)).alias("c"))
-    cut = chunked(points, keys, "t", small=small)
+    cut = chunked(points, keys, "t", chunks=chunks)
     step = Window.partitionBy(*keys, "__chunk").orderBy("t")
     area = (F.lag("b").over(step) + F.col("a")) / 2.0 * (F.col("t") - F.lag("t").over(step))
     parts = cut.withColumn("s", area).groupBy(*keys, "__chunk").agg(

@@ -50,7 +50,7 @@ def test_exact_quantiles_with_hot_value(spark, interpolate):
 
 def test_running_totals_across_chunks(spark):
     df = spark.createDataFrame([(i % 2, float(i * i), i) for i in range(400)], "g int, x double, w long")
-    cut = chunked(df, ["g"], "x", total=F.col("w"), small=10, steps=4)
+    cut = chunked(df, ["g"], "x", total=F.col("w"), chunks=16)
     assert cut.select("g", "__chunk").distinct().count() > 10
     got = {(r["g"], r["x"]): (r["up"], r["down"], r["__n"]) for r in running(
         running(cut, ["g"], "x", "up", "sum", F.col("w")), ["g"], "x", "down", "min", F.col("w"), descending=True).collect()}
@@ -59,6 +59,13 @@ def test_running_totals_across_chunks(spark):
         assert got[(i % 2, float(i * i))] == (sum(j for j in same if j <= i), i, sum(same))
 
 
+def test_chunks_are_even_whatever_the_values(spark):
+    values = [*(float(i) / 1e6 for i in range(20_000)), -1e300, 1e300]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    sizes = [r["count"] for r in chunked(df, [], "x", chunks=10).groupBy("__chunk").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 2 * len(values) / 10
+
+
 def test_spread_row_number_is_a_permutation(spark):
     df = spark.createDataFrame([(i % 3, float(i % 5), i) for i in range(300)], "g int, x double, id long")
     rows = spread_row_number(df, ["g"], "id", order="x").collect()
@@ -196,7 +203,7 @@ def test_series_auc_is_the_same_in_chunks(spark):
     rows = [("u", "f", float(t), float(v), i) for i, (t, v) in enumerate(zip(rng.integers(0, 90, 200), rng.random(200)))]
     df = spark.createDataFrame(rows, "u string, f string, t double, v double, id long")
     whole = shapes.series_auc(df, "u", "f", "t", "v", "id").first()
-    parts = shapes.series_auc(df, "u", "f", "t", "v", "id", small=5).first()
+    parts = shapes.series_auc(df, "u", "f", "t", "v", "id", chunks=5).first()
     ordered = sorted(rows, key=lambda r: (r[2], r[4]))
     t, v = np.array([r[2] for r in ordered]), np.array([r[3] for r in ordered])
     want = np.trapezoid(v - v[0], t) / (t[-1] - t[0])
