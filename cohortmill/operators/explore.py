@@ -1,12 +1,12 @@
 """Principal components, batch-effect report and correlations."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.nulls import complete, number
+from ..functions.nulls import complete
 from ..functions.relate import cut_lineage
 from .layout import Wide
 from .normalize import apply_shift, apply_vector_scale, as_vector, fit_shift, fit_vector_scale
@@ -75,54 +75,138 @@ def batch_effect_report(wide: DataFrame, layout: Wide, site: str = "site", sampl
     return out
 
 
-def pair_moments(df: DataFrame, columns) -> DataFrame:
-    """Sums over complete pairs for every pair of columns (both orders), by matrix products per batch.
+# Columns of a tile of the products.
+TILE = 256
 
-    Each task sends one row per pair at the end, so the shuffle holds tasks x pairs small rows.
-    Values are shifted by the column mean first, which keeps the sums of squares accurate.
-    """
-    columns = list(columns)
-    means = df.agg(*[F.coalesce(F.avg(number(c)), F.lit(0.0)).alias(c) for c in columns]).select(F.array(*columns).alias("m")).scalar()
-    rows = df.select(F.array(*[number(c) for c in columns]).alias("v")).withColumn("m", means) \
-        .select(F.zip_with("v", "m", lambda v, m: v - m).alias("v"))
-    size = len(columns)
-
-    def sums(batches):
-        total = np.zeros((4, size, size))
-        for pdf in batches:
-            x = np.array(pdf["v"].tolist(), dtype=float).reshape(-1, size)
+
+def _sums_of(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Means of the positions of the array ``v`` (0 where nothing is known), and how many rows there are."""
+
+    def add(batches):
+        total, n = np.zeros((2, size)), 0
+        for batch in batches:
+            x = _matrix(batch.column(0), size)
             known = ~np.isnan(x)
-            x, m = np.where(known, x, 0.0), known.astype(float)
-            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
-        i, j = np.meshgrid(np.arange(size), np.arange(size), indexing="ij")
-        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "n": total[0].ravel(), "sx": total[1].ravel(),
-                            "sxx": total[2].ravel(), "sxy": total[3].ravel()})
+            total += np.stack((np.where(known, x, 0.0).sum(axis=0), known.sum(axis=0)))
+            n += len(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, size), pa.int32()), pa.array(np.append(0.0, total[0])), pa.array(np.append(n, total[1]))], names=["k", "s", "n"])
 
-    parts = rows.mapInPandas(sums, "i int, j int, n double, sx double, sxx double, sxy double")
-    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sxx", "sxy")])
+    found = rows.mapInArrow(add, "k int, s double, n double").groupBy("k").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).toPandas()
+    means, n = np.zeros(size), 0
+    for k, s, c in found.itertuples(index=False):
+        if k < 0:
+            n = int(c)
+        elif c:
+            means[k] = s / c
+    return means, n
 
 
-def feature_corr_matrix(df: DataFrame, columns) -> DataFrame:
-    """Pearson correlation over complete pairs: ``feature_1``, ``feature_2``, ``corr`` for all ordered pairs."""
-    columns = list(columns)
-    m = pair_moments(df, columns)
-    other = m.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sx").alias("sy"), F.col("sxx").alias("syy"))
+def _matrix(lists: pa.Array, size: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)
+
+
+def pair_moments(df: DataFrame, columns, others=None) -> DataFrame:
+    """Sums over complete pairs (i, j, n, sx, sy, sxx, syy, sxy): of ``columns`` with i <= j, or of ``columns`` with ``others``.
+
+    The columns are cut into tiles.  A pair of tiles is multiplied on its own, in as many parts as keep the tasks
+    busy, so no task holds more than two tiles of rows and one tile of products; with one pair of
+    tiles rows are summed where they lie.  Values are shifted by the column mean first, which keeps the sums of
+    squares accurate.  ``j`` counts within ``others`` if they are given.  Runs a job for the means.
+    """
+    columns, others = list(columns), None if others is None else list(others)
+    size, every = len(columns), [*columns, *(others or [])]
+    rows = df.select(as_vector(every).cast("array<double>").alias("v"))
+    means, n_rows = _sums_of(rows, len(every))
+    cuts = lambda first, last: [(a, min(a + TILE, last)) for a in range(first, last, TILE)]
+    left = cuts(0, size)
+    pairs = [(a, b) for a in left for b in left if a <= b] if others is None else [(a, b) for a in left for b in cuts(size, len(every))]
+    spark = df.sparkSession
+    salts = max(1, min(-(-2 * spark.sparkContext.defaultParallelism // max(len(pairs), 1)), -(-n_rows // 10_000)))
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+    def products(x, y):
+        kx, ky = (~np.isnan(v) for v in (x, y))
+        x, y, mx, my = np.where(kx, x, 0.0), np.where(ky, y, 0.0), kx.astype(float), ky.astype(float)
+        return np.stack([mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y])
+
+    def told(pair, total):
+        (a, _), (b, _) = pairs[pair]
+        i, j = (m.ravel() for m in np.meshgrid(np.arange(total.shape[1]) + a, np.arange(total.shape[2]) + b, indexing="ij"))
+        used = i <= j if others is None else np.full(len(i), True)
+        sums = [pa.array(t.ravel()[used]) for t in total]
+        return pa.RecordBatch.from_arrays([pa.array(i[used], pa.int32()), pa.array((j - (0 if others is None else size))[used], pa.int32()), *sums], names=[f.split()[0] for f in schema.split(", ")])
+
+    def whole(batches):
+        total = 0.0
+        for batch in batches:
+            x = _matrix(batch.column(0), len(every)) - means
+            (a, b), (c, d) = pairs[0]
+            total = total + products(x[:, a:b], x[:, c:d])
+        if not np.isscalar(total):
+            yield told(0, total)
+
+    def deal(batches):
+        for batch in batches:
+            x = _matrix(batch.column(0), len(every)) - means
+            for at in range(0, len(x), 2048):
+                part = x[at:at + 2048]
+                salt = int(np.abs(np.nan_to_num(part[0])).sum() * 1e6) % salts
+                for k, ((a, b), (c, d)) in enumerate(pairs):
+                    sides = [pa.array([np.ascontiguousarray(part[:, p:q]).tobytes()], pa.binary()) for p, q in ((a, b), (c, d))]
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([salt], pa.int32()), *sides], names=["pair", "salt", "x", "y"])
+
+    def gather(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x, y in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3))):
+                (a, b), (c, d) = pairs[k]
+                made = products(np.frombuffer(x).reshape(-1, b - a), np.frombuffer(y).reshape(-1, d - c))
+                if k not in total and len(total) > 3:      # rows come by pair: what came before is done
+                    yield told(*total.popitem())
+                total[k] = total[k] + made if k in total else made
+        for k, t in total.items():
+            yield told(k, t)
+
+    if not pairs:
+        return spark.createDataFrame([], schema)
+    if len(pairs) == 1:
+        parts = rows.mapInArrow(whole, schema)
+    else:
+        dealt = rows.mapInArrow(deal, "pair int, salt int, x binary, y binary")
+        parts = dealt.repartition(len(pairs) * salts, "pair", "salt").sortWithinPartitions("pair", "salt").mapInArrow(gather, schema)
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+
+def _corr():
     n = F.col("n")
     cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
     vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
     vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    names = F.array(*[F.lit(c) for c in columns])
-    return m.join(other, ["i", "j"]).select(
-        names[F.col("i")].alias("feature_1"), names[F.col("j")].alias("feature_2"),
-        F.when((n > 1) & (vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy))).alias("corr"))
+    return F.when((n > 1) & (vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
+
+
+def _name(names, i):
+    return F.get(F.expr("array(" + ", ".join(repr(str(n)) for n in names) + ")"), i)
+
+
+def feature_corr_matrix(df: DataFrame, columns) -> DataFrame:
+    """Pearson correlation over complete pairs: ``feature_1``, ``feature_2``, ``corr`` for all ordered pairs.
+
+    Each unordered pair is summed and shuffled once and told in both orders.
+    """
+    columns = list(columns)
+    upper = pair_moments(df, columns).select("i", "j", _corr().alias("corr"))
+    there, back = F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b"))
+    both = upper.select("corr", F.explode(F.when(F.col("i") == F.col("j"), F.array(there)).otherwise(F.array(there, back))).alias("p"))
+    return both.select(_name(columns, F.col("p.a")).alias("feature_1"), _name(columns, F.col("p.b")).alias("feature_2"), "corr")
 
 
 def feature_covariate_corr(df: DataFrame, features, covariates) -> DataFrame:
-    """Correlation of every feature with every covariate that exists."""
-    covariates = [c for c in covariates if c in df.columns]
-    corr = feature_corr_matrix(df, [*features, *covariates])
-    return corr.where(F.col("feature_1").isin(list(features)) & F.col("feature_2").isin(covariates)) \
-        .withColumnsRenamed({"feature_1": "feature_id", "feature_2": "covariate"})
+    """Correlation of every feature with every covariate that exists: only these pairs are summed."""
+    features, covariates = list(features), [c for c in covariates if c in df.columns]
+    found = pair_moments(df, features, covariates) if covariates else pair_moments(df, [], [])
+    names = covariates or [""]
+    return found.select(_name(features or [""], F.col("i")).alias("feature_id"), _name(names, F.col("j")).alias("covariate"), _corr().alias("corr"))
 
 
 def correlation_summary(corr: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -8,63 +8,60 @@ distinct ones with counts (hot values become one row), then either bracketed by
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import number
-from ..functions.relate import SALTS, attach, attach_checked, md5_order, stored
+from ..functions.relate import SALTS, attach, attach_checked, discard, md5_order, stored
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
 
 
 def exact_quantiles(df: DataFrame, by, value, probs, interpolate: bool = True, accuracy: int = 10_000) -> DataFrame:
-    """Exact quantiles per group: columns ``by`` and ``q`` (array in the order of ``probs``).
+    """Exact quantiles per group: columns ``by`` and ``q`` (array in the order of ``probs``).  Runs jobs.
 
-    Two passes.  A mergeable sketch per group brackets each wanted rank; the second pass counts
-    what lies below the bracket and keeps the distinct values inside it, about
-    ``8 / accuracy`` of a group.  ``interpolate`` gives the linear (continuous) quantile,
-    otherwise the order statistic of rank ``ceil(p * n)``.
+    The groups and values are evaluated once and stored.  A mergeable sketch per group then brackets all wanted
+    ranks; one more pass counts, without copying a row, what lies between the brackets and keeps the distinct
+    values inside them, about ``8 / accuracy`` of a group for each.  ``interpolate`` gives the linear (continuous)
+    quantile, otherwise the order statistic of rank ``ceil(p * n)``.
     """
-    by = list(by)
-    x = number(value)
-    rows = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull())
+    by, probs = list(by), [float(p) for p in probs]
+    x, n, rising = F.col("__x"), len(probs), sorted(range(len(probs)), key=lambda i: probs[i])
+    rows = stored(df.select(*by, number(value).alias("__x")).where(x.isNotNull()))
     slack = 4.0 / accuracy
-    low = [max(p - slack, 0.0) for p in probs]
-    high = [min(p + slack, 1.0) for p in probs]
+    low, high = [max(probs[i] - slack, 0.0) for i in rising], [min(probs[i] + slack, 1.0) for i in rising]
 
     def edges(points):
-        return F.percentile_approx("__x", [float(p) for p in points], accuracy)
+        return F.percentile_approx("__x", points, accuracy)
 
     sketch = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__min"), F.max("__x").alias("__max"),
-        edges(low).alias("__lo"), edges(high).alias("__hi"),
-    )
+        F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__min"), F.max("__x").alias("__max"), edges(low).alias("__lo"), edges(high).alias("__hi"))
     ranks = []
-    for i, p in enumerate(probs):
+    for k, i in enumerate(rising):
         if interpolate:
-            position = F.lit(float(p)) * (F.col("__n") - 1)
+            position = F.lit(probs[i]) * (F.col("__n") - 1)
             first, second = F.floor(position) + 1, F.ceil(position) + 1
             part = position - F.floor(position)
         else:
-            first = F.greatest(F.ceil(F.lit(float(p)) * F.col("__n")), F.lit(1))
+            first = F.greatest(F.ceil(F.lit(probs[i]) * F.col("__n")), F.lit(1))
             second, part = first, F.lit(0.0)
-        lo = F.col("__min") if low[i] <= 0.0 else F.col("__lo")[i]
-        hi = F.col("__max") if high[i] >= 1.0 else F.col("__hi")[i]
-        ranks.append(F.struct(
-            F.lit(i).alias("i"), lo.alias("lo"), hi.alias("hi"), first.cast("long").alias("first"),
-            second.cast("long").alias("second"), part.alias("part"),
-        ))
-    wanted = sketch.select(*by, F.array(*ranks).alias("__want"))
-    # The bracket edges may differ between attempts of a task (sketch merges depend on arrival
-    # order).  They are therefore no part of the key below: any valid bracket gives the same ranks.
-    goal = ["i", "first", "second", "part"]
-    near = (
-        attach_checked(rows, wanted, by, "inner", cells_per_row=6 * len(probs))
-        .select(*by, "__x", F.explode("__want").alias("w"))
-        .where(F.col("__x") <= F.col("w.hi"))
-        .select(*by, *[F.col(f"w.{g}").alias(f"__{g}") for g in goal],
-                F.when(F.col("__x") >= F.col("w.lo"), F.col("__x")).alias("__x"))
-    )
-    goal = [f"__{g}" for g in goal]
-    near = near.groupBy(*by, *goal, "__x").agg(F.count(F.lit(1)).alias("__c"))
-    upto = Window.partitionBy(*by, *goal).orderBy(F.col("__x").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+        few = F.col("__n") * slack < 2      # the slack is less than two ranks: the bracket is the whole group
+        lo = F.col("__min") if low[k] <= 0.0 else F.when(few, F.col("__min")).otherwise(F.col("__lo")[k])
+        hi = F.col("__max") if high[k] >= 1.0 else F.when(few, F.col("__max")).otherwise(F.col("__hi")[k])
+        ranks.append(F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"), lo.alias("lo"), hi.alias("hi"), first.cast("long").alias("first"), second.cast("long").alias("second"), part.alias("part")))
+    # sketches depend on the order of arrival: stored, the brackets are the same for all that follows
+    wanted = stored(sketch.select(*by, F.array(*ranks).alias("__want")))
+    held = attach_checked(rows, wanted, by, "inner", cells_per_row=7 * n)
+    want = [F.col("__want")[k] for k in range(n)]
+    above = sum(((x >= w["lo"]).cast("int") for w in want[1:]), (x >= want[0]["lo"]).cast("int"))
+    inside = (x >= want[0]["lo"]) & (x <= want[0]["hi"])
+    for w in want[1:]:
+        inside = inside | ((x >= w["lo"]) & (x <= w["hi"]))
+    # __above tells which brackets a row lies below: those from this number on
+    counts = held.select(*by, above.alias("__above"), F.when(inside, x).alias("__x")).groupBy(*by, "__above", "__x").agg(F.count(F.lit(1)).alias("__c"))
+    each = attach_checked(counts, wanted, by, "inner", cells_per_row=7 * n).select(*by, "__above", "__x", "__c", F.explode("__want").alias("w"))
+    goal = ["__k", "__i", "__first", "__second", "__part"]
+    within = F.coalesce((x >= F.col("w.lo")) & (x <= F.col("w.hi")), F.lit(False))
+    near = each.where(within | (F.col("__above") <= F.col("w.k"))).select(
+        *by, *[F.col(f"w.{g[2:]}").alias(g) for g in goal], F.when(within, x).alias("__x"), "__c")
+    near = near.groupBy(*by, *goal, "__x").agg(F.sum("__c").alias("__c"))
+    upto = Window.partitionBy(*by, *goal).orderBy(F.col("__x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = near.withColumn("__cum", F.sum("__c").over(upto))
 
     def at(rank: str) -> Column:
@@ -77,9 +74,11 @@ def exact_quantiles(df: DataFrame, by, value, probs, interpolate: bool = True, a
         (F.coalesce(F.col("below"), F.lit(0)) < F.col("__first")) & F.col("b").isNotNull(),
         F.col("a") + (F.col("b") - F.col("a")) * F.col("__part"),
     ).otherwise(F.raise_error(F.lit("quantile rank fell outside its bracket; raise accuracy")).cast("double")))
-    return found.groupBy(*by).agg(
+    out = stored(found.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct(F.col("__i").alias("i"), "q"))).alias("__q")
-    ).select(*by, F.transform("__q", lambda s: s.getField("q")).alias("q"))
+    ).select(*by, F.transform("__q", lambda s: s.getField("q")).alias("q")))
+    discard(rows, wanted)
+    return out
 
 
 def sketch_quantiles(df: DataFrame, by, value, probs, accuracy: int) -> DataFrame:

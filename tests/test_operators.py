@@ -414,3 +414,51 @@ def test_registered_searches_are_whole(monkeypatch):
     search, job = (call.arguments for call in asked)
     assert (search["n_trials"], search["n_splits"], search["samplers"]) == (150, 6, ("random", "near_miss", "tomek"))
     assert job["mode"] == "auto" and not job["user_list"] and not job.get("predict_options")
+
+
+def test_pair_products_in_tiles(spark, monkeypatch):
+    from cohortmill.operators import explore
+
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(300, 7)) + 1000.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 3] = 5.0
+    names = [f"f{i}" for i in range(7)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{n} double" for n in names)).repartition(3)
+
+    def plain(i, j):
+        known = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        a, b = x[known, i], x[known, j]
+        return None if a.std() == 0 or b.std() == 0 else np.corrcoef(a, b)[0, 1]
+
+    for tile in (256, 3):
+        monkeypatch.setattr(explore, "TILE", tile)
+        got = {(r["feature_1"], r["feature_2"]): r["corr"] for r in explore.feature_corr_matrix(df, names).collect()}
+        assert len(got) == 49
+        strip = {(r["feature_id"], r["covariate"]): r["corr"] for r in explore.feature_covariate_corr(df, names[:5], names[5:] + ["absent"]).collect()}
+        assert set(strip) == {(a, b) for a in names[:5] for b in names[5:]}
+        for i in range(7):
+            for j in range(7):
+                want = plain(i, j)
+                assert got[names[i], names[j]] == (None if want is None else pytest.approx(want, abs=1e-9))
+                if i < 5 <= j:
+                    assert strip[names[i], names[j]] == (None if want is None else pytest.approx(want, abs=1e-9))
+
+
+def test_quantile_input_is_evaluated_once(spark):
+    rows = spark.createDataFrame([(i % 3, float(i % 50)) for i in range(2000)] + [(3, None), (4, float("nan")), (5, 2.5)], "g int, x double").repartition(4)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    found = {r["g"]: r["q"] for r in exact_quantiles(rows.mapInArrow(counted, rows.schema), ["g"], "x", [0.75, 0.0, 0.5, 1.0]).collect()}
+    assert read.value == 2003 and set(found) == {0, 1, 2, 5}
+    for g in range(3):
+        assert found[g] == pytest.approx(np.quantile([i % 50 for i in range(2000) if i % 3 == g], [0.75, 0.0, 0.5, 1.0]))
+    assert found[5] == [2.5] * 4
+    small = spark.createDataFrame([(g, float((i * 37) % 101)) for g in range(40) for i in range(g + 1)], "g int, x double")
+    for r in exact_quantiles(small, ["g"], "x", [0.25, 0.5, 0.9]).collect():
+        assert r["q"] == pytest.approx(np.quantile([float((i * 37) % 101) for i in range(r["g"] + 1)], [0.25, 0.5, 0.9]))
