@@ -1,9 +1,9 @@
 """Principal components, batch-effect report and correlations."""
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.nulls import complete
@@ -15,8 +15,91 @@ from .shapes import pivot_wide
 from .stats import site_statistics
 
 
-def fit_pca(wide: DataFrame, layout: Wide, n_components: int = 10, site: str | None = None, fill: float | None = None):
-    """(scaled rows, fitted model, orientation per component).  Fits: an action.
+@dataclass
+class Components:
+    """Scaled rows (``__features``), loadings (columns x components) and explained shares."""
+
+    rows: DataFrame
+    loadings: np.ndarray
+    shares: np.ndarray
+
+
+# Columns multiplied beyond the wanted components, blocks kept before a restart, residual (of the largest value) that counts as met.
+SPARE, KEPT_BLOCKS, RESIDUAL, MOST_PASSES = 8, 24, 1e-10, 500
+
+
+def _gram_times(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+    """X' (X block) of the array column ``x``: one pass; every task adds up its own and parts are added again by Spark."""
+    size, width = block.shape
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+    per = max(1, (1 << 18) // width)
+    kind = "part int, sums binary"
+
+    def add(batches):
+        total, some = np.zeros((size, width)), False
+        for batch in batches:
+            x = _matrix(batch.column(0), size)
+            total += x.T @ (x @ shared.value)
+            some = some or len(x) > 0
+        if some:
+            cuts = range(0, size, per)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(cuts)), pa.int32()), pa.array([total[c:c + per].tobytes() for c in cuts], pa.binary())], names=["part", "sums"])
+
+    def merge(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums = np.frombuffer(sums.as_buffer())
+                total[part] = total[part] + sums if part in total else sums
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["part", "sums"])
+
+    out = np.zeros((size, width))
+    for part, sums in rows.select("x").mapInArrow(add, kind).repartition(-(-size // per), "part").mapInArrow(merge, kind).collect():
+        out[part * per:(part + 1) * per] = np.frombuffer(sums).reshape(-1, width)
+    shared.destroy()
+    return out
+
+
+def principal_axes(rows: DataFrame, size: int, k: int, seed: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest eigenvalues of X'X and their vectors, for the array column ``x`` of ``size`` numbers.
+
+    Block Krylov iteration: every pass multiplies a block of ``k + SPARE`` columns by X'X; the products are made
+    orthogonal to all that are kept, and the small problem within them is solved.  It ends when the residuals of
+    the wanted pairs are below RESIDUAL of the largest value, or the kept columns span everything.  After KEPT_BLOCKS
+    blocks it starts again from the best.  The driver holds a few hundred columns, never ``size`` squared numbers.
+    """
+    width = min(size, k + SPARE)
+    rng = np.random.default_rng(seed)
+    block = np.linalg.qr(rng.standard_normal((size, width)))[0]
+    kept, images = np.zeros((size, 0)), np.zeros((size, 0))
+    for _ in range(MOST_PASSES):
+        kept, images = np.concatenate((kept, block), axis=1), np.concatenate((images, _gram_times(rows, block)), axis=1)
+        small = kept.T @ images
+        values, turns = np.linalg.eigh((small + small.T) / 2)
+        values, turns = values[::-1], turns[:, ::-1]
+        vectors, moved = kept @ turns, images @ turns
+        rest = moved[:, :k] - vectors[:, :k] * values[:k]
+        if kept.shape[1] >= size or np.linalg.norm(rest, axis=0).max(initial=0.0) <= RESIDUAL * max(values[0], 1e-300):
+            break
+        if kept.shape[1] + width > KEPT_BLOCKS * width:
+            kept, images = vectors[:, :2 * width], moved[:, :2 * width]
+        new = images[:, -width:] if kept.shape[1] != 2 * width else moved[:, :width] - vectors[:, :width] * values[:width]
+        for _ in range(2):
+            new = new - kept @ (kept.T @ new)
+        block, upper = np.linalg.qr(new)
+        fresh = np.abs(np.diag(upper)) > 1e-12 * max(np.abs(upper).max(initial=0.0), 1e-300)
+        if not fresh.all():     # directions used up are replaced by random ones
+            spare = rng.standard_normal((size, int((~fresh).sum())))
+            block = np.concatenate((block[:, fresh], spare), axis=1)
+            for _ in range(2):
+                block = block - kept @ (kept.T @ block)
+                block = np.linalg.qr(block)[0]
+        block = block[:, :size - kept.shape[1]]
+    return values[:k], vectors[:, :k]
+
+
+def fit_pca(wide: DataFrame, layout: Wide, n_components: int = 10, site: str | None = None, fill: float | None = None) -> Components:
+    """Principal components of the scaled columns.  Fits: an action.
 
     Columns are batch-corrected if ``site`` is given, then scaled to mean 0 and sd 1.  Rows with a
     missing value are left out unless ``fill`` replaces it.  A component is turned so that its
@@ -30,33 +113,37 @@ def fit_pca(wide: DataFrame, layout: Wide, n_components: int = 10, site: str | N
     if site:
         vectors = apply_shift(vectors, "__v", fit_shift(rows, columns, site), len(columns), site)
     means, sds = fit_vector_scale(vectors, "__v", len(columns))
-    vectors = vectors.withColumn("__features", array_to_vector(apply_vector_scale("__v", means, sds)))
-    vectors = cut_lineage(vectors.drop(*columns, "__v"))
-    k = min(n_components, len(layout.columns))
-    model = PCA(k=k, inputCol="__features", outputCol="__scores").fit(vectors)
-    loadings = model.pc.toArray()
+    vectors = cut_lineage(vectors.withColumn("__features", apply_vector_scale("__v", means, sds)).drop(*columns, "__v"))
+    k = min(n_components, len(columns))
+    whole = vectors.agg(F.sum(F.aggregate("__features", F.lit(0.0), lambda a, x: a + x * x))).head()[0] or 0.0
+    values, loadings = principal_axes(vectors.select(F.col("__features").alias("x")), len(columns), k)
     signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])
-    return vectors, model, signs
+    return Components(vectors, loadings * signs, np.maximum(values, 0.0) / whole if whole else np.zeros(k))
+
+
+def pca_scores(fitted: Components, keep=("sample_id",)) -> DataFrame:
+    loadings = fitted.loadings
+    size, k = loadings.shape
 
+    @F.arrow_udf("array<double>")
+    def scores(x: pa.Array) -> pa.Array:
+        made = _matrix(x, size) @ loadings
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, k), pa.int32()), pa.array(made.ravel()))
 
-def pca_scores(fitted, keep=("sample_id",)) -> DataFrame:
-    vectors, model, signs = fitted
-    scores = model.transform(vectors).select(*keep, vector_to_array("__scores").alias("__s"))
-    return scores.select(*keep, *[(F.col("__s")[i] * float(s)).alias(f"PC{i + 1}") for i, s in enumerate(signs)])
+    told = fitted.rows.select(*keep, scores(F.col("__features")).alias("__s"))
+    return told.select(*keep, *[F.col("__s")[i].alias(f"PC{i + 1}") for i in range(k)])
 
 
-def pca_variance(spark, fitted) -> DataFrame:
+def pca_variance(spark, fitted: Components) -> DataFrame:
     """Explained share per component and its running sum, over at most a few dozen rows."""
-    shares = fitted[1].explainedVariance.toArray().tolist()
-    table = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(shares)], "component int, explained_variance_ratio double")
+    table = spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(fitted.shares)], "component int, explained_variance_ratio double")
     upto = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return table.withColumn("cumulative_variance", F.sum("explained_variance_ratio").over(upto))
 
 
-def pca_loadings(spark, fitted, layout: Wide) -> DataFrame:
-    loadings = fitted[1].pc.toArray() * fitted[2]
-    names = [f"PC{i + 1} double" for i in range(loadings.shape[1])]
-    return spark.createDataFrame([(c, *map(float, row)) for c, row in zip(layout.columns, loadings)],
+def pca_loadings(spark, fitted: Components, layout: Wide) -> DataFrame:
+    names = [f"PC{i + 1} double" for i in range(fitted.loadings.shape[1])]
+    return spark.createDataFrame([(c, *map(float, row)) for c, row in zip(layout.columns, fitted.loadings)],
                                  ", ".join(["feature_id string", *names]))
 
 

@@ -462,3 +462,26 @@ def test_quantile_input_is_evaluated_once(spark):
     small = spark.createDataFrame([(g, float((i * 37) % 101)) for g in range(40) for i in range(g + 1)], "g int, x double")
     for r in exact_quantiles(small, ["g"], "x", [0.25, 0.5, 0.9]).collect():
         assert r["q"] == pytest.approx(np.quantile([float((i * 37) % 101) for i in range(r["g"] + 1)], [0.25, 0.5, 0.9]))
+
+
+def test_components_agree_with_the_dense_solution(spark, monkeypatch):
+    from cohortmill.operators import explore
+    from cohortmill.operators.layout import Wide
+
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(400, 30)) @ rng.normal(size=(30, 30)) + 5.0
+    x[:, 7] = 2.0
+    names = [f"f{i}" for i in range(30)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "sample_id int, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    scaled = (x - x.mean(axis=0)) / np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
+    values, axes = np.linalg.eigh(scaled.T @ scaled)
+    values, axes = values[::-1][:4], axes[:, ::-1][:, :4]
+    axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(4)])
+    for spare, kept in ((8, 24), (1, 4)):
+        monkeypatch.setattr(explore, "SPARE", spare)
+        monkeypatch.setattr(explore, "KEPT_BLOCKS", kept)
+        fitted = explore.fit_pca(df, Wide(names), 4)
+        assert fitted.loadings == pytest.approx(axes, abs=1e-6)
+        assert fitted.shares == pytest.approx(values / np.square(scaled).sum(), abs=1e-9)
+        got = {r["sample_id"]: [r[f"PC{i + 1}"] for i in range(4)] for r in explore.pca_scores(fitted).collect()}
+        assert got[17] == pytest.approx((scaled @ axes)[17], abs=1e-5)
