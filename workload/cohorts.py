@@ -63,22 +63,27 @@ def _(t):
 
 
 OUTCOME_SQL = {
-    "eope": ("pe_new = 1 AND pe_cat = 'EOPE' AND pe_priority IN (1, 2)", "pe_new = 0"),
-    "lope": ("pe_new = 1 AND pe_cat = 'LOPE' AND pe_priority IN (1, 2)", "pe_new = 0"),
-    "ptb": ("ptb_new = 1", "ptb_new = 0"), "sga": ("sga_10 = 1", "sga_10 = 0"),
+    "eope": ("pe_new = 1 AND pe_cat = 'EOPE' AND pe_priority IN (1, 2)", "pe_new = 0", 3),
+    "lope": ("pe_new = 1 AND pe_cat = 'LOPE' AND pe_priority IN (1, 2)", "pe_new = 0", 3),
+    "sb": ("sb_new = 1 AND sb_priority IN (1, 2)", "sb_new = 0 AND birth_outcome = 1", 5),
+    "ptb": ("ptb_new = 1", "ptb_new = 0", 3), "sga": ("sga_10 = 1", "sga_10 = 0", 3),
 }
 
 
-@query("cohort_from_config", " UNION ALL ".join(f"""
-    SELECT '{o}' AS outcome, count(*) FILTER ({case}) AS n_cases, count(DISTINCT CASE WHEN {free} THEN (site, orig_id, visitdt) END) AS n_noncases
-    FROM {{metadata}} WHERE {' AND '.join(STEPS[:3])}""" for o, (case, free) in OUTCOME_SQL.items()))
+def roles_sql(outcome: str, case: str, free: str, steps: int) -> str:
+    rows = f"(SELECT * FROM {{metadata}} WHERE {' AND '.join(STEPS[:steps])})"
+    first = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site, orig_id, visitdt ORDER BY sample_id) AS rn FROM {rows} WHERE {free}) WHERE rn = 1)"
+    return f"""SELECT '{outcome}' AS outcome, 'case' AS role, sample_id FROM {rows} WHERE {case} UNION ALL SELECT '{outcome}', 'noncase', sample_id FROM {first}
+        UNION ALL SELECT '{outcome}', 'control', sample_id FROM {first} WHERE {' AND '.join(CONTROL)}"""
+
+
+@query("cohort_from_config", " UNION ALL ".join(roles_sql(o, *rules) for o, rules in OUTCOME_SQL.items()))
 def _(t):
+    """The rows of all cohorts of all outcomes."""
     out = None
-    for outcome in OUTCOME_SQL:
-        p = parts(t, outcome)
-        counted = roles({k: p[k] for k in ("case", "noncase")}, "sample_id").groupBy(F.lit(outcome).alias("outcome")).agg(
-            F.count_if(F.col("role") == "case").alias("n_cases"), F.count_if(F.col("role") == "noncase").alias("n_noncases"))
-        out = counted if out is None else out.unionByName(counted)
+    for outcome in derive.OUTCOMES:
+        named = roles(parts(t, outcome), "sample_id").select(F.lit(outcome).alias("outcome"), "role", "sample_id")
+        out = named if out is None else out.unionByName(named)
     return out
 
 
@@ -157,10 +162,11 @@ def _(t):
 
 
 @query("subject_samples", """
-    SELECT subject_id, sample_id, ga_sample_days, row_number() OVER (PARTITION BY subject_id ORDER BY ga_sample_days, md5(concat('0:', CAST(sample_id AS STRING)))) AS visit_no
-    FROM {curated} WHERE ga_sample_days IS NOT NULL""")
+    SELECT subject_id, sample_id, ga_sample_days, row_number() OVER (PARTITION BY subject_id ORDER BY ga_sample_days NULLS FIRST, md5(concat('0:', CAST(sample_id AS STRING)))) AS visit_no
+    FROM {curated}""")
 def _(t):
-    return shapes.subject_samples(t["curated"].dropna(subset=["ga_sample_days"]))
+    """Every visit; those without a time come first."""
+    return shapes.subject_samples(t["curated"])
 
 
 FEATURES = list(range(50))

@@ -23,13 +23,17 @@ def _(t):
     return joins.with_manifest(t["metadata"].select("site", "orig_id", "visitdt", "pe_cat"), manifest(t))
 
 
-@query("join_fill_values", """
-    SELECT m.sample_id, m.malaria, f.malaria_fill FROM {metadata} m JOIN (
-        SELECT site, orig_id, CASE WHEN count(DISTINCT malaria) = 1 AND min(malaria) IN (0, 1) THEN min(malaria) END AS malaria_fill
-        FROM {metadata} GROUP BY site, orig_id) f ON m.site = f.site AND m.orig_id = f.orig_id""")
+FLAGS = impute.BINARY_COLUMNS
+AGREED = "CASE WHEN count(DISTINCT {0}) = 1 AND min({0}) IN (0, 1) THEN min({0}) END AS {0}_fill"
+
+
+@query("join_fill_values", f"""
+    SELECT m.sample_id, {', '.join(f'm.{c}, f.{c}_fill' for c in FLAGS)} FROM {{metadata}} m JOIN (
+        SELECT site, orig_id, {', '.join(AGREED.format(c) for c in FLAGS)}
+        FROM {{metadata}} GROUP BY site, orig_id) f ON m.site = f.site AND m.orig_id = f.orig_id""")
 def _(t):
-    fills = impute.subject_fill(t["metadata"], ["malaria"]).withColumnRenamed("malaria", "malaria_fill")
-    return t["metadata"].select("sample_id", "site", "orig_id", "malaria").join(fills, ["site", "orig_id"]).select("sample_id", "malaria", "malaria_fill")
+    fills = impute.subject_fill(t["metadata"]).withColumnsRenamed({c: f"{c}_fill" for c in FLAGS})
+    return t["metadata"].select("sample_id", "site", "orig_id", *FLAGS).join(fills, ["site", "orig_id"]).select("sample_id", *[x for c in FLAGS for x in (c, f"{c}_fill")])
 
 
 CLEAN_ALIGNMENT = """(SELECT site, CASE WHEN site = 3 THEN regexp_replace(feature_label, '^.*_', '') ELSE feature_label END AS feature_label,

@@ -2,9 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from cohortmill.operators import explore, multitest, select, stats
+from cohortmill.operators import explore, impute, multitest, select, stats
 from cohortmill.operators.derive import population_flags
-from cohortmill.operators.impute import subject_fill
 from cohortmill.operators.layout import Long
 from cohortmill.operators.normalize import normalization_stats
 
@@ -79,12 +78,13 @@ def _(t):
     return stats.count_subjects(t["metadata"])
 
 
-@query("subject_fill_value", """
-    SELECT site, orig_id, CASE WHEN count(DISTINCT hiv) = 1 AND min(hiv) IN (0, 1) THEN min(hiv) END AS hiv,
-           CASE WHEN count(DISTINCT syphilis) = 1 AND min(syphilis) IN (0, 1) THEN min(syphilis) END AS syphilis
-    FROM {metadata} GROUP BY site, orig_id""")
+FLAGS = impute.BINARY_COLUMNS
+AGREED = "CASE WHEN count(DISTINCT {0}) = 1 AND min({0}) IN (0, 1) THEN min({0}) END AS {0}"
+
+
+@query("subject_fill_value", f"SELECT site, orig_id, {', '.join(AGREED.format(c) for c in FLAGS)} FROM {{metadata}} GROUP BY site, orig_id")
 def _(t):
-    return subject_fill(t["metadata"], ["hiv", "syphilis"])
+    return impute.subject_fill(t["metadata"])
 
 
 @query("duplicate_ids_per_group", """

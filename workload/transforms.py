@@ -47,15 +47,16 @@ def _(t):
     return picked(impute.impute(t["long_missing"], LONG, "median", ["site"]), "value")
 
 
-@query("subject_binary_impute", """
-    SELECT m.sample_id, coalesce(m.malaria, f.malaria) AS malaria, coalesce(m.syphilis, f.syphilis) AS syphilis, coalesce(m.tb, f.tb) AS tb
-    FROM {metadata} m JOIN (SELECT site, orig_id,
-        CASE WHEN count(DISTINCT malaria) = 1 AND min(malaria) IN (0, 1) THEN min(malaria) END AS malaria,
-        CASE WHEN count(DISTINCT syphilis) = 1 AND min(syphilis) IN (0, 1) THEN min(syphilis) END AS syphilis,
-        CASE WHEN count(DISTINCT tb) = 1 AND min(tb) IN (0, 1) THEN min(tb) END AS tb
-        FROM {metadata} GROUP BY site, orig_id) f ON m.site = f.site AND m.orig_id = f.orig_id""")
+FLAGS = impute.BINARY_COLUMNS
+AGREED = "CASE WHEN count(DISTINCT {0}) = 1 AND min({0}) IN (0, 1) THEN min({0}) END"
+
+
+@query("subject_binary_impute", f"""
+    SELECT m.sample_id, {', '.join(f'coalesce(m.{c}, f.{c}) AS {c}' for c in FLAGS)}
+    FROM {{metadata}} m JOIN (SELECT site, orig_id, {', '.join(f'{AGREED.format(c)} AS {c}' for c in FLAGS)}
+        FROM {{metadata}} GROUP BY site, orig_id) f ON m.site = f.site AND m.orig_id = f.orig_id""")
 def _(t):
-    return impute.subject_binary_impute(t["metadata"]).select("sample_id", "malaria", "syphilis", "tb")
+    return impute.subject_binary_impute(t["metadata"]).select("sample_id", *FLAGS)
 
 
 @query("impute_drop", "SELECT sample_id, feature_id, value FROM {long_missing} WHERE value IS NOT NULL", "value")
@@ -209,9 +210,20 @@ def _(t):
 
 
 @query("normalize_dispatch", f"""
-    SELECT sample_id, feature_id, log2_value FROM {LOGGED}""", "log2_value")
-def _(t):
-    return picked(normalize.normalize(t["long_missing"], LONG, "unheard of"), "log2_value")
+    WITH l AS (SELECT * FROM {LOGGED}), s AS (SELECT feature_id, quantile_disc(log2_value, 0.5) AS med, avg(log2_value) AS mean, stddev_samp(log2_value) AS sd,
+        quantile_disc(log2_value, 0.25) AS q1, quantile_disc(log2_value, 0.75) AS q3 FROM l GROUP BY feature_id)
+    SELECT 'unheard of' AS method, sample_id, feature_id, log2_value FROM l
+    UNION ALL SELECT 'log_median_centering', sample_id, feature_id, log2_value - med FROM l JOIN s USING (feature_id)
+    UNION ALL SELECT 'log_mean_centering', sample_id, feature_id, log2_value - mean FROM l JOIN s USING (feature_id)
+    UNION ALL SELECT 'zscore', sample_id, feature_id, CASE WHEN sd > 0 THEN (log2_value - mean) / sd ELSE log2_value END FROM l JOIN s USING (feature_id)
+    UNION ALL SELECT 'quantile', sample_id, feature_id, CASE WHEN q3 > q1 THEN (log2_value - med) / (q3 - q1) ELSE log2_value END FROM l JOIN s USING (feature_id)""", "log2_value")
+def _(t):
+    """Every branch by its name, and an unknown name, which only takes logs (``rank_quantile`` is the query ``quantile_normalize``)."""
+    out = None
+    for method in ("log_median_centering", "log_mean_centering", "zscore", "quantile", "unheard of"):
+        made = picked(normalize.normalize(t["long_missing"], LONG, method), "log2_value").select(F.lit(method).alias("method"), "sample_id", "feature_id", "log2_value")
+        out = made if out is None else out.unionByName(made)
+    return out
 
 
 @query("batch_correct", """
