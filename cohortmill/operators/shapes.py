@@ -9,7 +9,11 @@ from .ranking import chunked, spread_row_number
 
 
 def melt(df: DataFrame, ids, columns, feature: str = "feature_id", value: str = "value") -> DataFrame:
-    return df.unpivot(list(ids), list(columns), feature, value)
+    """One row per row of ``df`` and listed column; of no columns, no rows (with a double as value)."""
+    ids, columns = list(ids), list(columns)
+    if not columns:
+        return df.select(*ids, F.lit(None).cast("string").alias(feature), F.lit(None).cast("double").alias(value)).where(F.lit(False))
+    return df.unpivot(ids, columns, feature, value)
 
 
 def pivot_wide(long: DataFrame, features, sample="sample_id", feature: str = "feature_id", value: str = "value", prefix: str = "") -> DataFrame:

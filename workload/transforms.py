@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cohortmill.operators import clean, impute, normalize, outlier, select
+from cohortmill.operators import clean, impute, normalize, outlier, select, shapes
 from cohortmill.operators.layout import Long, Wide
 
 from .registry import query
@@ -248,4 +248,4 @@ def _(t):
 def _(t):
     holed = WIDE.project(embedded(t), lambda x: F.when(x <= 0.3, x))
     rows, kept, _ = select.drop_features_with_nulls(holed, WIDE)
-    return rows.unpivot(["vec_id"], kept.values(), "c", "v").select("vec_id", F.substring("c", 2, 9).cast("long").alias("i"), "v")
+    return shapes.melt(rows, ["vec_id"], kept.values(), "c", "v").select("vec_id", F.substring("c", 2, 9).cast("long").alias("i"), "v")
