@@ -189,7 +189,7 @@ def _sums_of(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
 
 def _matrix(lists: pa.Array, size: int) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, size)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(lists), size)
 
 
 def pair_moments(df: DataFrame, columns, others=None) -> DataFrame:
@@ -202,6 +202,9 @@ def pair_moments(df: DataFrame, columns, others=None) -> DataFrame:
     """
     columns, others = list(columns), None if others is None else list(others)
     size, every = len(columns), [*columns, *(others or [])]
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    if not size or (others is not None and not others):
+        return df.sparkSession.createDataFrame([], schema)
     rows = df.select(as_vector(every).cast("array<double>").alias("v"))
     means, n_rows = _sums_of(rows, len(every))
     cuts = lambda first, last: [(a, min(a + TILE, last)) for a in range(first, last, TILE)]
@@ -209,7 +212,6 @@ def pair_moments(df: DataFrame, columns, others=None) -> DataFrame:
     pairs = [(a, b) for a in left for b in left if a <= b] if others is None else [(a, b) for a in left for b in cuts(size, len(every))]
     spark = df.sparkSession
     salts = max(1, min(-(-2 * spark.sparkContext.defaultParallelism // max(len(pairs), 1)), -(-n_rows // 10_000)))
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
     def products(x, y):
         kx, ky = (~np.isnan(v) for v in (x, y))
@@ -254,8 +256,6 @@ def pair_moments(df: DataFrame, columns, others=None) -> DataFrame:
         for k, t in total.items():
             yield told(k, t)
 
-    if not pairs:
-        return spark.createDataFrame([], schema)
     if len(pairs) == 1:
         parts = rows.mapInArrow(whole, schema)
     else:

@@ -15,3 +15,11 @@ def test_no_feature_without_nulls_gives_no_rows(spark):
     melted = shapes.melt(rows, ["vec_id"], kept.values(), "c", "v")
     assert melted.select(F.substring("c", 2, 9).cast("long")).collect() == []
     assert melted.collect() == [] and melted.dtypes == [("vec_id", "int"), ("c", "string"), ("v", "double")]
+
+
+def test_correlations_with_no_covariate_are_empty(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0)], "x double, y double")
+    found = explore.feature_covariate_corr(df, ["x", "y"], ["absent"])
+    assert found.collect() == [] and found.columns == ["feature_id", "covariate", "corr"]
+    assert explore.feature_covariate_corr(df, [], ["x"]).collect() == []
+    assert explore.feature_corr_matrix(df, []).collect() == []
