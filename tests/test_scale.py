@@ -23,3 +23,24 @@ def test_correlations_with_no_covariate_are_empty(spark):
     assert found.collect() == [] and found.columns == ["feature_id", "covariate", "corr"]
     assert explore.feature_covariate_corr(df, [], ["x"]).collect() == []
     assert explore.feature_corr_matrix(df, []).collect() == []
+
+
+def test_long_is_dealt_by_its_rows_and_equals_its_sql(spark, tmp_path, monkeypatch):
+    from cohortmill.functions import relate
+    from workload import registry
+
+    assert relate.shares(spark, 10 * relate.TASK_ROWS) * 6 == relate.shares(spark, 60 * relate.TASK_ROWS)
+    tables = {
+        "customer": spark.createDataFrame([(1, 7), (2, None), (2, 8), (None, 9)], "c_custkey long, c_nationkey int"),
+        "orders": spark.sql("SELECT IF(id % 9 = 0, NULL, id) AS o_orderkey, 1 + id % 3 AS o_custkey, TIMESTAMP '2020-01-01' AS o_orderdate FROM range(40)"),
+        "lineitem": spark.sql("SELECT IF(id % 7 = 0, NULL, id % 37) AS l_orderkey, IF(id % 11 = 0, NULL, id) AS l_partkey, CAST(id AS DOUBLE) AS l_extendedprice FROM range(400)"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(relate, "TASK_ROWS", 40)
+    t = registry.Inputs(spark, str(tmp_path))
+    want = spark.sql(registry.SHAPES["long"], **{n: t[n] for n in tables})
+    got = t["long"]
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+    held = got.groupBy("sample_id").agg(F.sum("value"))
+    assert held.rdd.getNumPartitions() == 10        # 400 lines at 40 to a task, and no other exchange since
