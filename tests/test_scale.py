@@ -44,3 +44,14 @@ def test_long_is_dealt_by_its_rows_and_equals_its_sql(spark, tmp_path, monkeypat
     assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
     held = got.groupBy("sample_id").agg(F.sum("value"))
     assert held.rdd.getNumPartitions() == 10        # 400 lines at 40 to a task, and no other exchange since
+
+
+def test_neighbours_do_not_depend_on_the_rows_taken_at_once(spark, monkeypatch):
+    from cohortmill.operators import neighbours as nb
+
+    rng = np.random.default_rng(3)
+    rows = lambda n, name: spark.createDataFrame([(i, list(map(float, v)), 1) for i, v in enumerate(rng.integers(0, 6, (n, 3)))], f"{name} long, vec array<double>, n long")
+    asked, points = rows(300, "qid"), rows(80, "vid").dropDuplicates(["vec"])
+    whole = [sorted(map(tuple, nb.neighbours(asked, points, 2, farthest=f).collect())) for f in (False, True)]
+    monkeypatch.setattr(nb, "ROUTED_BYTES", 1)      # one query at a time
+    assert [sorted(map(tuple, nb.neighbours(asked, points, 2, farthest=f).collect())) for f in (False, True)] == whole
