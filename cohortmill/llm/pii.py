@@ -1,8 +1,8 @@
 """Personal data by candidate gradient boosting, in DataFrame functions only.
 
 Fixed patterns give the base spans.  Wider generators propose further, possibly overlapping spans;
-boosted trees score them by their format and by the words before them.  The trees learn, from a bounded sample of
-candidates, what the fixed patterns accept; per kind, a threshold calibrated on other candidates
+boosted trees score them by their format and by the words before them.  The trees learn, from three quarters of all
+candidates, what the fixed patterns accept; per kind, a threshold calibrated on the others
 selects those that are added.
 """
 
@@ -155,31 +155,31 @@ def _tree(node) -> object:
     return split.featureIndex(), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def fit(candidates: DataFrame, sample_rows: int = 20_000, trees: int = 10, precision: float = 0.9) -> SpanModel:
-    """``candidates``: key, kind, features, label.  Learns from at most ``sample_rows`` rows, chosen by hash.
+def fit(candidates: DataFrame, scratch: Scratch, trees: int = 10, precision: float = 0.9) -> SpanModel:
+    """``candidates``: key, kind, features, label.  Learns from all of them; those described alike are one row with their number as weight.
 
-    A quarter of them calibrates: the threshold of a kind is the smallest score above which at least
-    ``precision`` of them are labelled; a kind for which there is none adds nothing, as does a sample of one label.
+    A quarter of them, chosen by hash, calibrates: the threshold of a kind is the smallest score above which at least
+    ``precision`` of them are labelled; a kind for which there is none adds nothing, as do candidates of one label.
     """
-    bounded = candidates.orderBy(F.xxhash64("key"), "key").limit(sample_rows).select("kind", "label", (F.pmod(F.xxhash64("key", F.lit(1)), F.lit(4)) == 0).alias("tests"),
-                                                                              *[F.get("features", F.lit(i)).alias(f) for i, f in enumerate(FEATURES)]).coalesce(1).cache()
-    learned = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(bounded.where("NOT tests"))
+    alike = ["kind", "label", "tests", *FEATURES]
+    described = scratch.keep(candidates.select(
+        "kind", "label", (F.pmod(F.xxhash64("key", F.lit(1)), F.lit(4)) == 0).alias("tests"),
+        *[F.get("features", F.lit(i)).alias(f) for i, f in enumerate(FEATURES)]).groupBy(*alike).agg(F.count("*").cast("double").alias("weight")))
+    learned = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(described.where("NOT tests"))
     seen = {r["label"] for r in learned.select("label").distinct().collect()}
     if seen != {0.0, 1.0}:
-        bounded.unpersist()
         return SpanModel([], {})
-    model = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=trees, maxDepth=3, seed=7).fit(learned)
+    model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=3, seed=7).fit(learned)
     out = SpanModel([(float(w), _tree(t._call_java("rootNode"))) for w, t in zip(model.treeWeights, model.trees)], {})
-    scored = bounded.where("tests").select("kind", "label", F.round(out.margin(F.array(*FEATURES)), 9).alias("score"))
-    steps = scored.groupBy("kind", "score").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+    scored = described.where("tests").select("kind", "label", "weight", F.round(out.margin(F.array(*FEATURES)), 9).alias("score"))
+    steps = scored.groupBy("kind", "score").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
     above = Window.partitionBy("kind").orderBy(F.desc("score"))
     best = steps.withColumn("share", F.sum("good").over(above) / F.sum("n").over(above)).where(F.col("share") >= precision).groupBy("kind").agg(F.min("score").alias("at"))
     out.thresholds = {r["kind"]: r["at"] for r in best.collect()}
-    bounded.unpersist()
     return out
 
 
-def find_personal_data(docs: DataFrame, sample_rows: int = 20_000, scratch: Scratch | None = None) -> DataFrame:
+def find_personal_data(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: doc_id, base and added (arrays of kind, start, end, value).
 
     Positions count code points; ends are exclusive.  Null text is empty and has no spans.  Added spans
@@ -199,7 +199,7 @@ def find_personal_data(docs: DataFrame, sample_rows: int = 20_000, scratch: Scra
     held = scratch.keep(both.select("doc_id", plain.alias("base"), described.alias("wide")))
     each = held.where(F.size("wide") > 0).select("doc_id", F.explode("wide").alias("s")).select(
         F.concat_ws(":", F.coalesce("doc_id", F.lit(SMALLEST)), "s.start", "s.end", "s.kind").alias("key"), "s.kind", "s.features", "s.label")
-    model = fit(each, sample_rows)
+    model = fit(each, scratch)
     chosen = F.filter("wide", lambda s: ~s["known"] & (model.margin(s["features"]) >= model.threshold(s["kind"])))
     brief = F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"), s["value"].alias("value")))
     kind = "array<struct<start:int,back:int,kind:int,value:string>>"

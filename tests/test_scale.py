@@ -55,3 +55,22 @@ def test_neighbours_do_not_depend_on_the_rows_taken_at_once(spark, monkeypatch):
     whole = [sorted(map(tuple, nb.neighbours(asked, points, 2, farthest=f).collect())) for f in (False, True)]
     monkeypatch.setattr(nb, "ROUTED_BYTES", 1)      # one query at a time
     assert [sorted(map(tuple, nb.neighbours(asked, points, 2, farthest=f).collect())) for f in (False, True)] == whole
+
+
+def test_spans_are_learned_from_all_candidates(spark):
+    from cohortmill.llm import pii
+    from cohortmill.llm.common import Scratch
+
+    kept = []
+
+    class Watched(Scratch):
+        def keep(self, df):
+            kept.append(super().keep(df))
+            return kept[-1]
+
+    features = F.array(*[(F.col("id") % 5).cast("double") for _ in pii.FEATURES])
+    candidates = spark.range(25_000).select(F.col("id").cast("string").alias("key"), (F.col("id") % 4).cast("int").alias("kind"),
+                                            features.alias("features"), (F.col("id") % 5 > 2).cast("double").alias("label"))
+    model = pii.fit(candidates, Watched(spark), trees=1)
+    assert kept[0].agg(F.sum("weight")).first()[0] == 25_000 and kept[0].count() <= 4 * 5 * 2
+    assert set(model.thresholds) == {0, 1, 2, 3}
