@@ -5,6 +5,8 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.relate import shares
+
 SMALLEST = -(2**63)
 
 
@@ -38,8 +40,13 @@ class Scratch:
         self.root = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
         self._names = count()
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` and return it as read from there; column names may be of any kind."""
+    def keep(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Write ``df`` and return it as read from there; column names may be of any kind.
+
+        Where ``rows`` bounds the (short) rows of the last step, no more tasks write than so many rows ask for.
+        """
+        if rows is not None:
+            df = df.coalesce(shares(self.spark, rows))
         path = f"{self.root}/{next(self._names)}"
         df.write.parquet(path)
         held = self.spark.read.schema(df.schema).parquet(path)
@@ -60,38 +67,45 @@ class Scratch:
 
 # A key with more than this share of the rows is looked up by broadcast: at most 1 / HEAVY keys.
 HEAVY = 1 / 1000
+# Rows, of a few numbers each, up to which a table is broadcast whole: about 6 MB.
+SMALL = 1 << 17
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner", narrow: bool = False) -> DataFrame:
     """Join ``table`` (one row per key, with the number of ``rows`` of that key in ``weight``).
 
     Keys that hold a share of ``HEAVY`` of all rows or more, of which there can be at most
     ``1 / HEAVY``, are broadcast, so that their rows are not shuffled; the others are joined by
-    shuffle, where no key is large.  Both inputs are read twice: pass stored tables.
+    shuffle, where no key is large.  Both inputs are read twice: pass stored tables.  Every key has a row, so
+    ``total`` bounds the table too: a ``narrow`` one, of a few numbers a row, is broadcast whole up to SMALL rows.
     """
+    if narrow and total <= SMALL:
+        return rows.join(F.broadcast(table), keys, how)
     heavy = F.broadcast(table.where(F.col(weight) >= total * HEAVY))
     light = table.where(F.col(weight) < total * HEAVY)
     rest = rows.join(heavy.select(*keys), keys, "left_anti").join(light, keys, how)
     return rows.join(heavy, keys).select(*rest.columns).unionAll(rest)
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, most: int | None = None) -> DataFrame:
     """(id, component) for every end of ``edges`` (a, b): the smallest id that can be reached.
 
     Large-star and small-star steps alternate until the edges no longer change; each step is one
     aggregation and one join of edges, and never adds an edge.  Hot nodes go through ``lookup``.
+    A step takes as many tasks as its edges ask for; ``most`` bounds the first ones, repeated ones included.
     """
     spark = edges.sparkSession
     ordered = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
-    held = scratch.keep(ordered)
+    held = scratch.keep(ordered, most)
     seen = _checksum(held)
     while seen[0]:
         both = held.unionAll(held.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        lowest = scratch.keep(both.groupBy("hi").agg(F.least("hi", F.min("lo")).alias("m"), F.count("*").alias("w")))
-        large = scratch.keep(lookup(both.where("lo > hi"), lowest, ["hi"], "w", 2 * seen[0]).select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct())
-        lower = scratch.keep(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("w")))
-        moved = lookup(large, lower, ["hi"], "w", seen[0]).select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo")
-        after = scratch.keep(moved.unionAll(lower.select("hi", F.col("m").alias("lo"))).distinct())
+        rows = 2 * seen[0]
+        lowest = scratch.keep(both.groupBy("hi").agg(F.least("hi", F.min("lo")).alias("m"), F.count("*").alias("w")), rows)
+        large = scratch.keep(lookup(both.where("lo > hi"), lowest, ["hi"], "w", rows, narrow=True).select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct(), rows)
+        lower = scratch.keep(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("w")), rows)
+        moved = lookup(large, lower, ["hi"], "w", seen[0], narrow=True).select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo")
+        after = scratch.keep(moved.unionAll(lower.select("hi", F.col("m").alias("lo"))).distinct(), rows)
         scratch.drop(held, lowest, large, lower)
         held, before, seen = after, seen, _checksum(after)
         if before == seen:

@@ -119,15 +119,17 @@ def _compare(percent: int):
     return run
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch, most: int | None = None) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: whether the full shingle sets are similar enough.
 
     Sets travel to their centre ``a``; a centre with many members is copied once per STAR members.
+    ``most`` bounds the number of pairs, where the caller knows one.
     """
-    pairs = scratch.keep(pairs)
-    stars = scratch.keep(pairs.groupBy("a").agg(F.count("*").alias("w")))
+    pairs = scratch.keep(pairs, most)
+    total = pairs.count()
+    stars = scratch.keep(pairs.groupBy("a").agg(F.count("*").alias("w")), total)
     salts = F.ceil(F.col("w") / STAR).cast("int")
-    members = lookup(pairs, stars, ["a"], "w", pairs.count()).select(
+    members = lookup(pairs, stars, ["a"], "w", total, narrow=True).select(
         F.col("b").alias("id"), F.struct("a", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("member")).alias("to"))
     centres = stars.select("a", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")).select(
         F.col("a").alias("id"), F.struct("a", "salt", F.lit(0).alias("role"), F.lit(None).cast("long").alias("member")).alias("to"))
@@ -210,11 +212,11 @@ def settle(open_: DataFrame, texts: DataFrame, width: int, percent: int, scratch
     """Links (a, b) between components that share buckets in ``open_`` (bucket, rep, component)."""
     centre = scratch.keep(open_.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("w")))
     total = centre.agg(F.sum("w")).head()[0] or 0
-    cluster = components(lookup(open_.select("bucket", "rep"), centre, ["bucket"], "w", total).select(F.col("rep").alias("a"), F.col("centre").alias("b")), scratch)
-    members = scratch.keep(open_.select(F.col("rep").alias("id"), F.col("component").alias("own")).distinct().join(cluster.withColumnRenamed("component", "cluster"), "id"))
+    cluster = components(lookup(open_.select("bucket", "rep"), centre, ["bucket"], "w", total, narrow=True).select(F.col("rep").alias("a"), F.col("centre").alias("b")), scratch, total)
+    members = scratch.keep(open_.select(F.col("rep").alias("id"), F.col("component").alias("own")).distinct().join(cluster.withColumnRenamed("component", "cluster"), "id"), total)
     parts = members.groupBy("cluster", "own").agg(F.count("*").alias("k"))
-    main = scratch.keep(parts.groupBy("cluster").agg(F.max_by("own", F.struct("k", "own")).alias("main"), F.sum("k").alias("w"), F.max("k").alias("most")))
-    placed = lookup(members, main, ["cluster"], "w", members.count())
+    main = scratch.keep(parts.groupBy("cluster").agg(F.max_by("own", F.struct("k", "own")).alias("main"), F.sum("k").alias("w"), F.max("k").alias("most")), total)
+    placed = lookup(members, main, ["cluster"], "w", members.count(), narrow=True)
     blocks, slices = F.ceil((F.col("w") - F.col("most")) / BLOCK).cast("int"), F.ceil(F.col("w") / SLICE).cast("int")
     to = lambda salt, role: F.struct(F.col("cluster").alias("a"), salt.alias("salt"), F.lit(role).alias("role"), F.col("own").alias("member"))
     # a unit is a block and a slice: a held class goes to all slices of its block, a passing one to its slice of all blocks
@@ -237,18 +239,18 @@ def _labelled(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> Da
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     mark = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     found = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("w"), *mark).where("w > 1")
-    full = scratch.keep(found.groupBy("x1", "x2", "w", "c").agg(F.min("bucket").alias("bucket")).select("bucket", "c", "w"))
+    full = scratch.keep(found.groupBy("x1", "x2", "w", "c").agg(F.min("bucket").alias("bucket")).select("bucket", "c", "w"), total * BANDS)
     weight = full.agg(F.sum("w")).head()[0] or 0
     component = spark.createDataFrame([], "id long, component long")
     if weight:
-        members = scratch.keep(lookup(buckets, full.select("bucket", "w", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), ["bucket"], "w", weight))
+        members = scratch.keep(lookup(buckets, full.select("bucket", "w", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), ["bucket"], "w", weight, narrow=True), total * BANDS)
         texts = _texts(classes, members, rows, scratch)
         close = F.greatest("n", "centre_n") * percent <= F.least("n", "centre_n") * 100
         pairs = members.where("rep <> centre").where(close).select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-        tested = scratch.keep(verify(pairs, texts, width, percent, scratch))
+        tested = scratch.keep(verify(pairs, texts, width, percent, scratch, weight), weight)
         open_ = members.select("bucket", "rep", "n")
         for star in range(STARS):
-            component = scratch.keep(components(tested.where("linked").select("a", "b"), scratch))
+            component = scratch.keep(components(tested.where("linked").select("a", "b"), scratch, weight * (star + 1)), 2 * weight * (star + 1))
             open_ = _open_buckets(open_.select("bucket", "rep", "n"), component, scratch)
             if not open_.limit(1).count():
                 break
@@ -259,13 +261,13 @@ def _labelled(docs: DataFrame, width: int, percent: int, scratch: Scratch) -> Da
             pairs = _next_star(open_, star, percent, scratch)
             new = pairs.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti").join(
                 tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-            tested = scratch.keep(tested.unionAll(verify(new, texts, width, percent, scratch)))
+            tested = scratch.keep(tested.unionAll(verify(new, texts, width, percent, scratch, weight)), 2 * weight)
     placed = scratch.keep(classes.select("digest", "rep", "copies", "first.id").join(component.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("group"), "copies", "id"))
-    groups = scratch.keep(placed.groupBy("group").agg(F.min(F.struct("id")).alias("least"), F.count("*").alias("w")))
-    named = lookup(placed, groups.withColumn("component", F.col("least.id")).drop("least"), ["group"], "w", placed.count())
-    classed = scratch.keep(named.select("digest", "component", "copies", F.lit(True).alias("classed")))
-    joined = lookup(signed.select("id", "key", "n", "digest"), classed, ["digest"], "copies", total, "left")
+        "digest", F.coalesce("component", "rep").alias("group"), "copies", "id"), total)
+    groups = scratch.keep(placed.groupBy("group").agg(F.min(F.struct("id")).alias("least"), F.count("*").alias("w")), total)
+    named = lookup(placed, groups.withColumn("component", F.col("least.id")).drop("least"), ["group"], "w", placed.count(), narrow=True)
+    classed = scratch.keep(named.select("digest", "component", "copies", F.lit(True).alias("classed")), total)
+    joined = lookup(signed.select("id", "key", "n", "digest"), classed, ["digest"], "copies", total, "left", narrow=True)
     return joined.select("id", "key", "n", F.when(F.col("classed"), F.col("component")).otherwise(F.col("id")).alias("component"))
 
 
@@ -305,7 +307,7 @@ def _next_star(open_: DataFrame, star: int, percent: int, scratch: Scratch) -> D
     centre = scratch.keep(open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("rep").alias("centre"), F.col("n").alias("centre_n"), F.col("component").alias("centre_component")),
                                                                F.xxhash64("rep", F.lit(star))).alias("c"), F.count("*").alias("w")).select("bucket", "w", "c.*"))
     total = centre.agg(F.sum("w")).head()[0] or 0
-    return lookup(open_, centre, ["bucket"], "w", total).where("component <> centre_component").where(
+    return lookup(open_, centre, ["bucket"], "w", total, narrow=True).where("component <> centre_component").where(
         F.greatest("n", "centre_n") * percent <= F.least("n", "centre_n") * 100).select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
 
 

@@ -74,3 +74,30 @@ def test_spans_are_learned_from_all_candidates(spark):
     model = pii.fit(candidates, Watched(spark), trees=1)
     assert kept[0].agg(F.sum("weight")).first()[0] == 25_000 and kept[0].count() <= 4 * 5 * 2
     assert set(model.thresholds) == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("small", [1 << 17, 0])
+def test_steps_over_few_edges_take_few_tasks(spark, monkeypatch, small):
+    from cohortmill.llm import common
+
+    files = []
+
+    class Watched(common.Scratch):
+        def keep(self, df, *rows):
+            held = super().keep(df, *rows)
+            files.append(len(held.inputFiles()))
+            return held
+
+    monkeypatch.setattr(common, "SMALL", small, raising=False)
+    edges = spark.range(1, 400).selectExpr("id AS a", "IF(id % 100 = 0, id, id - 1) AS b")    # four chains
+    settings = {"spark.sql.shuffle.partitions": "31", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = dict(common.components(edges, Watched(spark)).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i // 100 * 100 for i in range(400)}
+    assert len(files) > 4 and max(files[1:]) == 1       # the first is written before its size is known
