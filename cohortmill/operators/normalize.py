@@ -6,7 +6,7 @@ from ..functions.measures import log_of
 from ..functions.nulls import holds, number, quoted
 from ..functions.relate import attach, attach_checked
 from .layout import Long
-from .ranking import exact_quantiles, spread_row_number
+from .ranking import exact_quantiles, sorted_row_number
 
 
 def log_transform(df: DataFrame, layout, base: str = "log2", offset: float = 1.0) -> DataFrame:
@@ -79,12 +79,13 @@ def robust_scale(df: DataFrame, layout, by=(), accuracy: int | None = None) -> D
 def quantile_normalize(df: DataFrame, layout: Long, sample: str = "sample_id", log: bool = True) -> DataFrame:
     """Give every sample the same distribution: the mean over samples at each within-sample rank.
 
-    Equal values of a sample are ranked by md5 of the feature id.
+    Equal values of a sample are ranked by md5 of the feature id.  The rows are evaluated and ranked once, and stored:
+    means and result read the same ranks.  Runs jobs.
     """
     if log:
         df, layout = log_transform(df, layout), logged(layout)
     known = df.withColumn(layout.value, number(layout.value)).where(F.col(layout.value).isNotNull())
-    ranked = spread_row_number(known, [sample], layout.feature, order=layout.value, name="__rank")
+    ranked = sorted_row_number(known, [sample], layout.feature, order=layout.value, name="__rank")
     targets = ranked.groupBy("__rank").agg(F.avg(layout.value).alias("__target"))
     # A rank holds a row of every sample: such keys are looked up by measured size, not dealt by a shuffle.
     return attach_checked(ranked, targets, ["__rank"], "inner").withColumn(layout.value, F.col("__target")).select(*df.columns)

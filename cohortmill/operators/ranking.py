@@ -5,9 +5,12 @@ distinct ones with counts (hot values become one row), then either bracketed by
 (quantiles) or cut into ranges of even size with running totals carried over (scans).
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.nulls import number
+from ..functions.nulls import all_of, number
 from ..functions.relate import SALTS, attach, attach_checked, discard, md5_order, stored
 
 _COMBINE = {"sum": (F.sum, lambda a, b: a + b), "min": (F.min, F.least), "max": (F.max, F.greatest)}
@@ -151,3 +154,52 @@ def spread_row_number(df: DataFrame, by, key, seed=0, order: str | None = None,
     starts = running(chunked(values, by, order), by, order, "__cum", "sum", F.col("__c")) \
         .select(*whole, (F.col("__cum") - F.col("__c")).alias("__start"))
     return attach(numbered, starts, whole, salts=SALTS).withColumn(name, F.col(name) + F.col("__start")).drop("__start")
+
+
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Which values are of other groups: missing ones are one group, and so are NaN."""
+    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+    if pa.types.is_floating(a.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return ~same.to_numpy(zero_copy_only=False)
+
+
+def sorted_row_number(df: DataFrame, by, key, seed=0, order: str | None = None, name: str = "rn") -> DataFrame:
+    """What ``spread_row_number`` gives, by one exchange of the rows, which are then stored.  Runs jobs.
+
+    Rows are cut at sampled borders into ranges of (group, ``order``, md5) and numbered where they lie.  Only the first
+    group of a range can have begun in earlier ones: the rows it has there, a number per range, are added.  No group is
+    held or sorted as a whole, and no statistics of the size of the rows are joined.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    by, columns = list(by), df.columns
+    sort = [*[F.col(c) for c in [*by, *([order] if order else [])]], md5_order(seed, *keys), *[F.col(k) for k in keys]]
+
+    def numbered(batches):
+        last, n, first = None, 0, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = [batch.column(columns.index(c)) for c in by]
+            new = np.zeros(batch.num_rows, bool)
+            for c in group:
+                new[1:] |= _differs(c.slice(0, len(c) - 1), c.slice(1))
+            if last is not None and any(_differs(x, c.slice(0, 1))[0] for x, c in zip(last, group)):
+                n, first = 0, False
+            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            number = np.arange(1, batch.num_rows + 1) - np.repeat(starts[:-1], np.diff(starts))
+            number[:starts[1]] += n
+            begun = np.zeros(batch.num_rows, bool)
+            begun[:starts[1]] = first
+            n, first, last = int(number[-1]), first and len(starts) == 2, [c.slice(len(c) - 1) for c in group]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(number), pa.array(begun)], names=[*columns, name, "__first"])
+
+    kinds = T.StructType([*df.schema.fields, T.StructField(name, T.LongType()), T.StructField("__first", T.BooleanType())])
+    placed = df.repartitionByRange(*sort).sortWithinPartitions(*sort).mapInArrow(numbered, kinds)
+    rows = stored(placed.withColumn("__range", F.spark_partition_id()))
+    cut = rows.where("__first").select(*[F.col(c).alias(f"__cut_{c}") for c in by], F.lit(1).alias("__one")).distinct()
+    of_cut = rows.join(F.broadcast(cut), all_of([F.col(c).eqNullSafe(F.col(f"__cut_{c}")) for c in by]), "left_semi") if by else rows
+    earlier = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = of_cut.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__c")).select("__range", F.sum("__c").over(earlier).alias("__before"))
+    held = attach(rows, F.broadcast(stored(carried.where("__before > 0"))), ["__range"])
+    return held.withColumn(name, F.col(name) + F.when(F.col("__first"), F.coalesce("__before", F.lit(0))).otherwise(0)).select(*columns, name)
