@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type as pa_type
 
 from ..functions.nulls import holds, number
-from ..functions.relate import attach, attach_checked, discard, stored
+from ..functions.relate import attach, attach_checked, deal, discard, shares, stored
 from .joins import with_annotation
 from .multitest import adjust
 
@@ -251,8 +251,10 @@ def logit_by_feature(df: DataFrame, outcome: str, value: str, covariates=(), cat
     used = [*keys, "__y", *numeric, *classes]
     placed = attach_checked(rows.where("__ok").select(*used), parts, keys, "inner")
     unit = F.pmod(F.xxhash64(*used, F.spark_partition_id()), F.col("__units")).cast("int")
-    units = stored(placed.select(*keys, "n_valid", "__units", unit.alias("unit"), "__y", F.coalesce(F.col(many) if many else F.lit(""), F.lit("")).alias("__level"), F.array(*dense).alias("__d"))
-                   .groupBy(*keys, "n_valid", "__units", "unit").agg(F.collect_list("__y").alias("y"), F.collect_list("__level").alias("level"), F.flatten(F.collect_list("__d")).alias("d")))
+    # lists of rows shrink to next to nothing when they are packed, so their bytes do not tell how many a task can hold: rows are dealt by number
+    dealt = deal(placed.select(*keys, "n_valid", "__units", unit.alias("unit"), "__y", F.coalesce(F.col(many) if many else F.lit(""), F.lit("")).alias("__level"), F.array(*dense).alias("__d")),
+                 [*keys, "unit"], shares(spark, fit_for.agg(F.sum("n_valid")).head()[0] or 0))
+    units = stored(dealt.groupBy(*keys, "n_valid", "__units", "unit").agg(F.collect_list("__y").alias("y"), F.collect_list("__level").alias("level"), F.flatten(F.collect_list("__d")).alias("d")))
     size = len(dense)
     blocks = tuple(tuple(len(numeric) + i for i, (c, _) in enumerate(others) if c == k) for k in dict(others))
     columns, blank = len(keys), Newton(np.zeros(size), np.array([], object), np.zeros(0), blocks=blocks)
